@@ -4,6 +4,8 @@
 an augmentation is the same on any cluster, after any retry.
 """
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,14 @@ def uniform(seed, *keys) -> Column:
     return u32(seed, *keys) / F.lit(UINT32)
 
 
+def uniform_below(fraction: float, seed, *keys) -> Column:
+    """Whether uniform(seed, key) < fraction, compared as hex digits (no number is built)."""
+    limit = math.ceil(fraction * UINT32)
+    if limit >= UINT32:
+        return F.lit(True)
+    return digest(seed, *keys) < F.lit(f"{limit:08x}")
+
+
 def uniform_part(hash_hex: Column, part: int) -> Column:
     """The part-th (0-3) of the four independent uniforms one digest holds."""
     return hex_to_long(hash_hex, 8 * part + 1, 8) / F.lit(UINT32)

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.hashing import as_list, u32
+from tidemill.functions.hashing import as_list, uniform_below
 from tidemill.plans.lookup import small_join
 from tidemill.plans.ranking import first_cut, group_cut, hash_cut, hash_row_number
 
@@ -12,7 +12,7 @@ TOP_K_ROWS = 100_000
 
 def hash_split(df: DataFrame, key, fraction: float, seed=42, names=("train", "validation"), out: str = "split") -> DataFrame:
     """Approximate split: a row's side depends only on its key.  No shuffle."""
-    held_out = u32(seed, *as_list(key)) % 10_000 < int(round(fraction * 10_000))
+    held_out = uniform_below(fraction, seed, *as_list(key))
     return df.withColumn(out, F.when(held_out, names[1]).otherwise(names[0]))
 
 

@@ -21,6 +21,7 @@ from tidemill.functions import dense
 from tidemill.functions.hashing import as_list, digest, u32
 from tidemill.functions.losses import binary_cross_entropy
 from tidemill.functions.optimizers import Optimizer, make_optimizer
+from tidemill.plans.iterate import kept
 
 HISTORY = "epoch int, lr double, loss double, val_loss double, accuracy double, val_accuracy double"
 
@@ -140,42 +141,49 @@ def fit_logistic(
     d = len(features) + 1
     state = initial or FitState(np.zeros(d), rule.slots(d), 0, [d - 1, 1], "sigmoid")
     w, slots, step, lr = state.weights, state.slots, state.step, rule.lr
-    side = (F.col(split) == validation) if split else F.lit(False)
-    data = df.select(
-        side.alias("_val"), F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(features)]
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def evaluate(w: np.ndarray) -> dict[bool, tuple]:
+    held_out = (F.col(split) == validation).cast("double") if split else F.lit(0.0)
+    columns = {"_v": held_out, "_y": F.col(label).cast("double"), **{f"_x{j}": F.col(c).cast("double") for j, c in enumerate(features)}}
+    # Rows with a missing value take no part; the coalesce only tells the
+    # code generator so, which spares a null test per term and row.
+    complete = df.select(*[c.alias(n) for n, c in columns.items()]).dropna()
+    pruned = complete.select(*[F.coalesce(n, F.lit(0.0)).alias(n) for n in columns])
+
+    def evaluate(data: DataFrame, w: np.ndarray) -> tuple:
+        """(loss, accuracy) of both sides and the training gradient, from one row of sums.
+
+        One ungrouped aggregate with 0/1 masks: half the cost of grouping by side.
+        """
         z = F.lit(float(w[-1]))
         for j in range(d - 1):
             z = z + F.lit(float(w[j])) * F.col(f"_x{j}")
-        scored = data.withColumn("_p", 1.0 / (1.0 + F.exp(-z))).withColumn("_e", F.col("_p") - F.col("_y"))
-        sums = scored.groupBy("_val").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(binary_cross_entropy(F.col("_y"), F.col("_p"))).alias("loss"),
-            F.sum(((F.col("_p") > 0.5).cast("double") == F.col("_y")).cast("double")).alias("correct"),
-            *[F.sum(F.col("_e") * F.col(f"_x{j}")).alias(f"g{j}") for j in range(d - 1)],
-            F.sum("_e").alias(f"g{d - 1}"),
-        )
-        return {
-            r["_val"]: (r["loss"] / r["n"], r["correct"] / r["n"], np.array([r[f"g{j}"] for j in range(d)]) / r["n"])
-            for r in sums.collect()  # two rows
-        }
+        scored = data.withColumn("_p", 1.0 / (1.0 + F.exp(-z)))
+        scored = scored.withColumns({
+            "_loss": binary_cross_entropy(F.col("_y"), F.col("_p")),
+            "_hit": ((F.col("_p") > 0.5).cast("double") == F.col("_y")).cast("double"),
+            "_e": (F.col("_p") - F.col("_y")) * (1.0 - F.col("_v")),
+        })
+        sums = {"n": F.sum(1.0 - F.col("_v")), "loss": F.sum(F.col("_loss") * (1.0 - F.col("_v"))), "hit": F.sum(F.col("_hit") * (1.0 - F.col("_v")))}
+        if split:
+            sums.update(val_n=F.sum("_v"), val_loss=F.sum(F.col("_loss") * F.col("_v")), val_hit=F.sum(F.col("_hit") * F.col("_v")))
+        sums.update({f"g{j}": F.sum(F.col("_e") * F.col(f"_x{j}")) for j in range(d - 1)})
+        sums[f"g{d - 1}"] = F.sum("_e")
+        r = scored.agg(*[s.alias(n) for n, s in sums.items()]).first()
+        train = (r["loss"] / r["n"], r["hit"] / r["n"])
+        val = (r["val_loss"] / r["val_n"], r["val_hit"] / r["val_n"]) if split and r["val_n"] else (None, None)
+        return train, val, np.array([r[f"g{j}"] for j in range(d)]) / r["n"]
 
-    try:
-        rows = []
-        now = evaluate(w)
+    rows = []
+    with kept(pruned, source=df) as data:
+        now = evaluate(data, w)
         for epoch in range(epochs):
             lr = schedule(epoch, lr) if schedule else lr
-            loss, accuracy, gradient = now[False]
+            (loss, accuracy), _, gradient = now
             step += 1
             w, slots = rule.update(w, gradient, slots, step, lr)
-            if epoch + 1 < epochs or True in now:
-                now = evaluate(w)
-            val_loss, val_accuracy, _ = now.get(True, (None, None, None))
+            if epoch + 1 < epochs or split:
+                now = evaluate(data, w)
+            val_loss, val_accuracy = now[1] if split else (None, None)
             rows.append((epoch, float(lr), loss, val_loss, accuracy, val_accuracy))
-    finally:
-        data.unpersist()
     return FitState(w, slots, step, state.widths, "sigmoid"), _history(df.sparkSession, rows)
 
 

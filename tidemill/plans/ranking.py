@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tidemill.functions.hashing import as_list, digest, hex_to_long
+from tidemill.functions.hashing import as_list, digest
 from tidemill.plans.lookup import small_join
 
 RANK_DIGITS = 3
@@ -34,7 +34,7 @@ def hash_row_number(df: DataFrame, key, seed=0, out: str = "rank", digits: int =
     unique keys.  One shuffle of the data plus one scan of the key column.
     """
     keys = as_list(key)
-    hashed = df.withColumn("_h", digest(seed, *keys)).withColumn("_b", hex_to_long(F.col("_h"), 1, digits).cast("int"))
+    hashed = df.withColumn("_h", digest(seed, *keys)).withColumn("_b", F.substring("_h", 1, digits))
     # At most 16^digits rows whatever the input, so the running sum may use
     # one task and the result may be broadcast.
     starts = (
@@ -54,7 +54,7 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
     the cut inside a projection; the table is not shuffled.
     """
     keys = as_list(key)
-    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", hex_to_long(F.col("_h"), 1, CUT_DIGITS).cast("int"))
+    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, CUT_DIGITS))
     every = Window.partitionBy(F.lit(0))
     counts = (
         hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))

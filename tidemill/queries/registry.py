@@ -44,4 +44,4 @@ def sql_round(expression: str, digits: int = 6) -> str:
 
 
 def sql_split(key: str, fraction: float, seed=42) -> str:
-    return f"CASE WHEN {sql_u32(seed, key)} % 10000 < {round(fraction * 10000)} THEN 'validation' ELSE 'train' END"
+    return f"CASE WHEN {sql_u32(seed, key)} / 4294967296.0::DOUBLE < {fraction}::DOUBLE THEN 'validation' ELSE 'train' END"

@@ -9,6 +9,7 @@ from tidemill.operators.evaluate import confusion_counts, confusion_grid, curves
 from tidemill.operators.score import score_dense
 from tidemill.operators.split import hash_split
 from tidemill.operators.transform import apply_array_scaler, apply_scaler, argmax_class, fit_array_scaler, fit_scaler
+from tidemill.plans.iterate import kept
 from tidemill.plans.scratch import scratch_dir
 from tidemill.queries.registry import query, rounded, sql_round, sql_split, table
 from tidemill.sources.synthetic import sample_points
@@ -133,7 +134,8 @@ def flags(spark, sf_dir):
     """Standardised numeric columns with label ``l_returnflag = 'R'``."""
     items = hash_split(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", *NUMERIC), "l_orderkey", 0.2)
     items = items.withColumn("y", (F.col("l_returnflag") == "R").cast("double"))
-    return apply_scaler(items, fit_scaler(items.where(F.col("split") == "train"), NUMERIC), NUMERIC, "_z")
+    scaled = apply_scaler(items, fit_scaler(items.where(F.col("split") == "train"), NUMERIC), NUMERIC, "_z")
+    return scaled.select("split", "y", *ZSCORES)
 
 
 ZSCORES = [f"{c}_z" for c in NUMERIC]
@@ -148,8 +150,8 @@ def round_metrics(history):
     SELECT rule, epoch, {ROUNDED_METRICS} FROM ({' UNION ALL '.join(f'SELECT * FROM {r}_h' for r in RULES)})""")
 def logit_history(spark, sf_dir):
     """Three epochs of logistic descent under each update rule."""
-    data = flags(spark, sf_dir)
-    parts = [t.fit_logistic(data, ZSCORES, "y", 3, rule, split="split")[1].withColumn("rule", F.lit(name)) for name, rule in RULES.items()]
+    with kept(flags(spark, sf_dir)) as data:
+        parts = [t.fit_logistic(data, ZSCORES, "y", 3, rule, split="split")[1].withColumn("rule", F.lit(name)) for name, rule in RULES.items()]
     return round_metrics(reduce(DataFrame.unionByName, parts))
 
 
@@ -157,10 +159,11 @@ def logit_history(spark, sf_dir):
     WITH {FEATURES_SQL}, {logit_sql('adam', 3)} SELECT epoch, {ROUNDED_METRICS} FROM adam_h""")
 def logit_resume(spark, sf_dir):
     """One epoch, saved, loaded and continued for two more: the same as three."""
-    data, rule, path = flags(spark, sf_dir), RULES["adam"], scratch_dir(spark, "state")
-    state, first = t.fit_logistic(data, ZSCORES, "y", 1, rule, split="split")
-    t.save_state(spark, state, path)
-    _, rest = t.resume(t.fit_logistic, t.load_state(spark, path), data, ZSCORES, "y", 2, rule, split="split")
+    rule, path = RULES["adam"], scratch_dir(spark, "state")
+    with kept(flags(spark, sf_dir)) as data:
+        state, first = t.fit_logistic(data, ZSCORES, "y", 1, rule, split="split")
+        t.save_state(spark, state, path)
+        _, rest = t.resume(t.fit_logistic, t.load_state(spark, path), data, ZSCORES, "y", 2, rule, split="split")
     return round_metrics(first.unionByName(rest.withColumn("epoch", F.col("epoch") + 1)))
 
 
