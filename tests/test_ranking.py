@@ -48,7 +48,7 @@ def test_hash_split_is_close_and_ignores_partitioning(spark):
 
 def skewed(spark, n=12_000):
     """One class with a third of all rows, many small ones, more rows than sampled bounds."""
-    label = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), F.col("id") % 40))
+    label = F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 41 != 0, F.concat(F.lit("c"), F.col("id") % 40))
     return spark.range(n).select(F.format_string("f%07d", (F.col("id") * 7919) % 1_000_003).alias("path"), label.alias("label"))
 
 
@@ -99,8 +99,8 @@ def test_epochs_differ(spark):
 @pytest.mark.parametrize("descending", [True, False])
 def test_competition_rank_with_hot_group_and_ties(spark, descending):
     frame = spark.range(6000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id") % 7)).alias("e"),
-        F.when(F.col("id") % 2 == 0, 5.0).otherwise((F.col("id") % 997).cast("double")).alias("v"), "id")
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 13 != 0, F.concat(F.lit("e"), F.col("id") % 7)).alias("e"),
+        F.when(F.col("id") % 2 == 0, 5.0).when(F.col("id") % 11 != 0, (F.col("id") % 997).cast("double")).alias("v"), "id")
     order = F.desc("v") if descending else F.asc("v")
     expected = {(r.id, r["r"]) for r in frame.withColumn("r", F.rank().over(Window.partitionBy("e").orderBy(order))).collect()}
     got = ranking.competition_rank(frame, "e", "v", "r", descending)

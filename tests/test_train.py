@@ -121,6 +121,15 @@ def test_dense_resume_equals_one_go_for_plain_sgd(spark):
     assert np.allclose(rest.weights, whole.weights)
 
 
+def test_dense_without_hidden_layer_is_a_mini_batch_logistic_unit(spark, line):
+    df = hash_split(line.withColumn("label", (F.col("y") > 3).cast("int")).withColumn("f", F.array("x")), "id", 0.25)
+    _, history = train.fit_dense(df, "id", "f", "label", [], "binary_ce", 4, optimizer=Optimizer("adam", 0.1), split="split",
+                                 schedule=lambda e, lr: 0.1 if e < 2 else 0.05)
+    rows = history.orderBy("epoch").collect()
+    assert rows[-1].val_accuracy > 0.9 and rows[-1].loss < rows[0].loss
+    assert [r.lr for r in rows] == [0.1, 0.1, 0.05, 0.05]
+
+
 def test_one_full_batch_step_is_the_plain_gradient_step(spark):
     df = blobs(spark, 90)
     rule = Optimizer("sgd", 0.1)

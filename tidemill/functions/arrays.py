@@ -4,6 +4,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row.
+
+    A column that stands inside a lambda may be replaced by the expression that
+    defines it and then run again for every element.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def argmax_index(scores: Column) -> Column:
     """0-based position of the largest score, the first one on ties."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
@@ -14,12 +23,15 @@ def indicator(label: Column, k: int) -> Column:
 
 
 def to_rows(flat: Column, height: int, width: int) -> Column:
-    return F.transform(F.sequence(F.lit(0), F.lit(height - 1)), lambda r: F.slice(flat, r * width + 1, F.lit(width)))
+    return let(flat, lambda a: F.transform(F.sequence(F.lit(0), F.lit(height - 1)), lambda r: F.slice(a, r * width + 1, F.lit(width))))
 
 
-def clamp(index: Column, size: int) -> Column:
-    """1-based array position of a 0-based index moved into [0, size)."""
-    return (F.least(F.greatest(index, F.lit(0)), F.lit(size - 1)) + 1).cast("int")
+def moved(values: Column, by: Column, size: int) -> Column:
+    """An array's elements moved ``by`` places towards its end, the edge element repeated."""
+    ahead = F.least(F.greatest(by, F.lit(0)), F.lit(size))
+    back = F.least(F.greatest(-by, F.lit(0)), F.lit(size))
+    kept = F.slice(values, back + 1, F.greatest(size - ahead - back, F.lit(0)))
+    return F.concat(F.array_repeat(F.element_at(values, 1), ahead), kept, F.array_repeat(F.element_at(values, -1), back))
 
 
 def nearest_resize(flat: Column, height: int, width: int, channels: int, new_h: int, new_w: int) -> Column:
@@ -29,4 +41,5 @@ def nearest_resize(flat: Column, height: int, width: int, channels: int, new_h:
         col = F.floor(F.floor(i / F.lit(channels)) % new_w * width / F.lit(new_w))
         return ((row * width + col) * channels + i % channels + 1).cast("int")
 
-    return F.transform(F.sequence(F.lit(0), F.lit(new_h * new_w * channels - 1)), lambda i: F.element_at(flat, source(i)))
+    positions = F.transform(F.sequence(F.lit(0), F.lit(new_h * new_w * channels - 1)), source)
+    return let(flat, lambda a: F.transform(positions, lambda p: F.element_at(a, p)))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.functions.arrays import clamp
+from tidemill.functions.arrays import let, moved
 from tidemill.functions.hashing import digest, uniform_part
 
 RANGES = {"rotation": 20.0, "shift": 0.1, "shear": 0.1, "zoom": 0.2}
@@ -54,12 +54,8 @@ def shift(df: DataFrame, dx, dy, height: int, width: int, col: str = "pixels", o
     """Move images given as rows by whole pixels (right and down), repeating the edge pixel."""
     dx = dx if isinstance(dx, Column) else F.lit(dx)
     dy = dy if isinstance(dy, Column) else F.lit(dy)
-    columns = F.sequence(F.lit(0), F.lit(width - 1))
-    moved = F.transform(
-        F.sequence(F.lit(0), F.lit(height - 1)),
-        lambda i: F.transform(columns, lambda j: F.element_at(F.element_at(F.col(col), clamp(i - dy, height)), clamp(j - dx, width))),
-    )
-    return df.withColumn(out or col, moved)
+    rows = let(F.col(col), lambda image: moved(image, dy, height))
+    return df.withColumn(out or col, F.transform(rows, lambda row: moved(row, dx, width)))
 
 
 def affine(df: DataFrame, height: int, width: int, channels: int, col: str = "pixels", out: str | None = None) -> DataFrame:

@@ -49,7 +49,8 @@ def link_once(df: DataFrame, manifest: DataFrame, key) -> DataFrame:
 
 def split_listing(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:
     """Sorted classes of each split; the list grows with classes, not rows."""
-    return df.groupBy(split).agg(F.array_sort(F.collect_set(label)).alias("classes"))
+    pairs = df.select(split, label).distinct()
+    return pairs.groupBy(split).agg(F.array_sort(F.collect_list(label)).alias("classes"))
 
 
 def class_count(df: DataFrame, label: str = "label") -> DataFrame:
@@ -74,7 +75,9 @@ def with_class_index(df: DataFrame, label: str = "label") -> DataFrame:
 
 def sample_counts(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:
     """Rows per split and class, per split, and in total (NULL stands for all)."""
-    return df.rollup(split, label).agg(F.count(F.lit(1)).alias("n"))
+    # Counting first keeps the rollup's threefold expansion off the data.
+    counts = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
+    return counts.rollup(split, label).agg(F.sum("n").alias("n"))
 
 
 def one_hot(df: DataFrame, label: str, k: int, out: str = "one_hot") -> DataFrame:

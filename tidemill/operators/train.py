@@ -236,6 +236,7 @@ def fit_dense(
     df: DataFrame, key, features: str, target: str, hidden: list[int], loss: str, epochs: int, outputs: int = 1,
     optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, buckets: int | None = None,
     split: str | None = None, validation: str = "validation", initial: FitState | None = None,
+    schedule: Callable[[int, float], float] | None = None,
 ) -> tuple[FitState, DataFrame]:
     """Fully connected network by parallel SGD with averaging (Zinkevich et al. 2010).
 
@@ -253,10 +254,10 @@ def fit_dense(
     side = (F.col(split) == validation) if split else F.lit(False)
     data = (
         df.select(
-            (u32(seed, *keys) % buckets).alias("_bucket"), digest(f"{seed}:order", *keys).alias("_h"), *keys,
+            (u32(seed, *keys) % buckets).cast("int").alias("_bucket"), digest(f"{seed}:order", *keys).alias("_h"), *keys,
             side.alias("_val"), F.col(features).cast("array<double>").alias("_x"), F.col(target).cast("double").alias("_y"),
         )
-        .repartition(buckets, "_bucket").sortWithinPartitions("_bucket", "_h", *keys)
+        .repartitionById(buckets, "_bucket").sortWithinPartitions("_h", *keys)
         .select("_bucket", "_val", "_x", "_y")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
@@ -265,76 +266,64 @@ def fit_dense(
     size = dense.sizes(widths)
     state = initial or FitState(dense.glorot(widths, seed), rule.slots(size), 0, widths, output)
 
-    def run_epoch(epoch: int, state: FitState, train: bool) -> DataFrame:
+    def run_epoch(epoch: int, state: FitState, lr: float, train: bool) -> DataFrame:
         start_w, start_slots, start_step = state.weights, state.slots, state.step
 
-        def buckets_of(batches: Iterator[pa.RecordBatch]):
-            """(bucket, is_val, x, y) pieces; a bucket's pieces are consecutive."""
-            for b in batches:
-                ids = b.column("_bucket").to_numpy()
-                val = b.column("_val").to_numpy(zero_copy_only=False)
-                x = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-                y = b.column("_y").to_numpy()
-                edges = np.flatnonzero(np.diff(ids)) + 1
-                for lo, hi in zip([0, *edges], [*edges, b.num_rows]):
-                    if hi > lo:
-                        yield int(ids[lo]), val[lo:hi], x[lo:hi], y[lo:hi]
-
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            current = None
+            """One partition is one bucket: mini-batches across its Arrow batches, then one row of results."""
+            w, slots, rng, bucket = start_w, start_slots, None, None
+            done = {"n": 0, "steps": 0, "loss": 0.0, "correct": 0.0, "val_n": 0, "val_loss": 0.0, "val_correct": 0.0}
 
             def train_on(x, y):
-                g, part, right = dense.gradient(current["w"], widths, x, y, output, dropout, current["rng"])
-                current["w"], current["slots"] = rule.update(
-                    current["w"], g, current["slots"], start_step + int(current["steps"]) + 1, rule.lr)
-                current["steps"] += 1
-                current["n"] += len(y)
-                current["loss"] += part
-                current["correct"] += right
-
-            def finish():
-                if train and len(current["y"]):
-                    train_on(current["x"], current["y"])
-                params = np.concatenate([current["w"], current["slots"].ravel()]) if train else np.zeros(0)
-                values = [current[k] for k in ("bucket", "n", "steps", "loss", "correct", "val_n", "val_loss", "val_correct")]
-                columns = [pa.array([values[0]], pa.int64()), *[pa.array([float(v)]) for v in values[1:]], pa.array([params], pa.list_(pa.float64()))]
-                return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in BUCKET_RESULT.split(", ")])
-
-            for bucket, val, x, y in buckets_of(batches):
-                if current is None or current["bucket"] != bucket:
-                    if current is not None:
-                        yield finish()
-                    current = {
-                        "bucket": bucket, "w": start_w.copy(), "slots": start_slots.copy(), "rng": np.random.default_rng([seed, epoch, bucket]),
-                        "steps": 0, "n": 0, "loss": 0.0, "correct": 0.0, "val_n": 0, "val_loss": 0.0, "val_correct": 0.0,
-                        "x": np.zeros((0, x.shape[1])), "y": np.zeros(0),
-                    }
+                nonlocal w, slots
+                g, part, right = dense.gradient(w, widths, x, y, output, dropout, rng)
+                done["steps"] += 1
+                w, slots = rule.update(w, g, slots, start_step + done["steps"], lr)
+                done["n"] += len(y)
+                done["loss"] += part
+                done["correct"] += right
+
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                x = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                y, val = b.column("_y").to_numpy(), b.column("_val").to_numpy(zero_copy_only=False)
+                if bucket is None:
+                    bucket = b.column("_bucket")[0].as_py()
+                    rng = np.random.default_rng([seed, epoch, bucket])
+                    rest_x, rest_y = np.zeros((0, x.shape[1])), np.zeros(0)
                 if val.any():
                     # Judged by the weights the previous epoch ended with.
                     part, right = dense.row_losses(dense.predict(dense.unpack(start_w, widths), x[val], output), y[val], output)
-                    current["val_n"] += int(val.sum())
-                    current["val_loss"] += part
-                    current["val_correct"] += right
+                    done["val_n"] += int(val.sum())
+                    done["val_loss"] += part
+                    done["val_correct"] += right
                 if train:
-                    xs, ys = np.concatenate([current["x"], x[~val]]), np.concatenate([current["y"], y[~val]])
+                    xs, ys = np.concatenate([rest_x, x[~val]]), np.concatenate([rest_y, y[~val]])
                     whole = len(ys) // batch * batch
                     for at in range(0, whole, batch):
                         train_on(xs[at:at + batch], ys[at:at + batch])
-                    current["x"], current["y"] = xs[whole:], ys[whole:]
-            if current is not None:
-                yield finish()
+                    rest_x, rest_y = xs[whole:], ys[whole:]
+            if bucket is None:
+                return
+            if train and len(rest_y):
+                train_on(rest_x, rest_y)
+            params = np.concatenate([w, slots.ravel()]) if train else np.zeros(0)
+            columns = [pa.array([bucket], pa.int64()), *[pa.array([float(v)]) for v in done.values()], pa.array([params], pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", *done, "params"])
 
         return data.mapInArrow(work, BUCKET_RESULT)
 
     metrics = ["n", "steps", "loss", "correct", "val_n", "val_loss", "val_correct"]
-    rows, val_rows = [], []
+    rows, val_rows, lr = [], [], rule.lr
     classify = output != "linear"
     try:
         for epoch in range(epochs + 1):
             train = epoch < epochs
             if not train and not split:
                 break
-            result = run_epoch(epoch, state, train).persist(StorageLevel.MEMORY_AND_DISK)
+            lr = schedule(epoch, lr) if schedule and train else lr
+            result = run_epoch(epoch, state, lr, train).persist(StorageLevel.MEMORY_AND_DISK)
             try:
                 table = result.select("bucket", *metrics).toArrow().sort_by("bucket")
                 n, steps, loss_sum, correct, val_n, val_loss, val_correct = (math.fsum(table[m].to_pylist()) for m in metrics)
@@ -344,15 +333,15 @@ def fit_dense(
                     mean = _average(result, size + state.slots.size)
                     taken = max(1, round(steps / max(1, table.num_rows)))
                     state = FitState(mean[:size], mean[size:].reshape(state.slots.shape), state.step + taken, widths, output)
-                    rows.append((epoch, rule.lr, loss_sum / n, correct / n if classify else None))
+                    rows.append((epoch, float(lr), loss_sum / n, correct / n if classify else None))
             finally:
                 result.unpersist()
     finally:
         data.unpersist()
     history = []
-    for i, (epoch, lr, mean_loss, accuracy) in enumerate(rows):
+    for i, (epoch, rate, mean_loss, accuracy) in enumerate(rows):
         val_loss, val_accuracy = val_rows[i + 1] if split else (None, None)
-        history.append((epoch, lr, mean_loss, val_loss, accuracy, val_accuracy))
+        history.append((epoch, rate, mean_loss, val_loss, accuracy, val_accuracy))
     return state, _history(spark, history)
 
 

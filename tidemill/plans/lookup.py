@@ -1,5 +1,7 @@
 """Joins against tables that are usually small, with the size measured first."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,13 +19,21 @@ def pin_small(small: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
     return small.sparkSession.createDataFrame(rows, small.schema)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Equi-join on equally named columns in which NULL matches NULL; ``right``'s keys are not repeated."""
+    keys = [on] if isinstance(on, str) else list(on)
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    condition = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def small_join(df: DataFrame, small: DataFrame, on, how: str = "left", limit: int = LOOKUP_ROWS) -> DataFrame:
-    """Join that broadcasts ``small`` when measured small and shuffles otherwise.
+    """Null-safe join that broadcasts ``small`` when measured small and shuffles otherwise.
 
     The shuffle join is left to adaptive execution, which splits skewed keys.
     """
     pinned = pin_small(small, limit)
-    return df.join(small if pinned is None else F.broadcast(pinned), on, how)
+    return null_safe_join(df, small if pinned is None else F.broadcast(pinned), on, how)
 
 
 def value_list(small: DataFrame, limit: int = LOOKUP_ROWS) -> list:

@@ -14,29 +14,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from tidemill.functions.hashing import as_list, digest
-from tidemill.plans.lookup import small_join
+from tidemill.plans.lookup import null_safe_join, small_join
 
-RANK_DIGITS = 3
-CUT_DIGITS = 4
 GROUPS = 64
 SAMPLE = GROUPS * GROUPS - 1
 
 
+def bucket_digits(df: DataFrame) -> int:
+    """Hex digits giving at least four buckets per shuffle partition: 16^2 to 16^5 of them."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return next((d for d in range(2, 5) if 16**d >= 4 * partitions), 5)
+
+
 def _before(*partition, order) -> Window:
     spec = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
     return spec.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def hash_row_number(df: DataFrame, key, seed=0, out: str = "rank", digits: int = RANK_DIGITS) -> DataFrame:
+def hash_row_number(df: DataFrame, key, seed=0, out: str = "rank") -> DataFrame:
     """Dense ranks 1..n in the order of (md5(seed:key), key).
 
     A bucket is the digest's leading hex digits, so buckets are even for
     unique keys.  One shuffle of the data plus one scan of the key column.
     """
-    keys = as_list(key)
+    keys, digits = as_list(key), bucket_digits(df)
     hashed = df.withColumn("_h", digest(seed, *keys)).withColumn("_b", F.substring("_h", 1, digits))
-    # At most 16^digits rows whatever the input, so the running sum may use
-    # one task and the result may be broadcast.
+    # At most 16^digits rows (a million) whatever the input, so the running sum
+    # may use one task and the result may be broadcast.
     starts = (
         hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
         .select("_b", F.coalesce(F.sum("_n").over(_before(order="_b")), F.lit(0)).alias("_start"))
@@ -50,11 +54,11 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
     """Flag exactly ceil(n * fraction) rows: the first ones in digest order.
 
     Counting per bucket finds the bucket that holds the last flagged row, and
-    only that bucket (1 in 65,536 rows) is sorted.  Rows are then compared with
+    only that bucket (one of 16^3 to 16^6) is sorted.  Rows are then compared with
     the cut inside a projection; the table is not shuffled.
     """
     keys = as_list(key)
-    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, CUT_DIGITS))
+    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, bucket_digits(df) + 1))
     every = Window.partitionBy(F.lit(0))
     counts = (
         hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
@@ -100,7 +104,9 @@ def value_bucketer(df: DataFrame, col: str, identity: list):
         value = F.col(col)
         group = F.size(F.filter("_bounds.heads", lambda b: b <= value))
         within = F.size(F.filter(F.element_at("_bounds.groups", F.greatest(F.col("_g"), F.lit(1))), lambda b: b <= value))
-        bucket = F.when(F.col("_g") == 0, 0).otherwise((F.col("_g") - 1) * GROUPS + within)
+        # Never NULL, and said so: a join on it then needs no filter that would
+        # compute the bucket a second time.
+        bucket = F.coalesce(F.when(F.col("_g") == 0, 0).otherwise((F.col("_g") - 1) * GROUPS + within), F.lit(0))
         return frame.withColumn("_bounds", bounds.scalar()).withColumn("_g", group).withColumn("_b", bucket).drop("_bounds", "_g")
 
     return add
@@ -164,9 +170,8 @@ def competition_rank(df: DataFrame, by: str, value: str, out: str = "rank", desc
         .select(by, "_b", F.coalesce(F.sum("_n").over(_before(by, order=order("_b"))), F.lit(0)).alias("_start"))
     )
     inside = F.coalesce(F.sum("_n").over(_before(by, "_b", order=order(value))), F.lit(0))
-    # Same clustering keys on both sides: the window's shuffle serves the join.
     ranks = (
-        bucketed.withColumn("_r", inside).join(starts, [by, "_b"])
+        null_safe_join(bucketed.withColumn("_r", inside), starts, [by, "_b"])
         .select(by, value, (F.col("_start") + F.col("_r") + 1).cast("long").alias(out))
     )
-    return df.join(ranks, [by, value])
+    return null_safe_join(df, ranks, [by, value])

@@ -1,10 +1,14 @@
 from pyspark.sql import functions as F
 
 from tidemill.functions import losses
+from tidemill.functions.arrays import let
 from tidemill.operators import evaluate as e
 from tidemill.operators.curate import one_hot
 from tidemill.operators.split import hash_split
+from tidemill.operators.score import score_dense
+from tidemill.operators.transform import argmax_class
 from tidemill.queries.registry import query, rounded, sql_round, sql_split, table
+from tidemill.queries.score import fixed_head
 from tidemill.streaming.confusion import run_to_end, stream_confusion, stream_table
 
 # The last class never occurs: a grid must still show it.
@@ -59,9 +63,9 @@ def evaluate_splits(spark, sf_dir):
 
 def softmax_of_first(spark, sf_dir):
     """Probabilities of 10 classes: softmax of the first 10 vector values."""
-    data = table(spark, sf_dir, "embeddings").withColumn("_e", F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double"))))
-    total = F.aggregate("_e", F.lit(0.0), lambda acc, x: acc + x)
-    return data.withColumn("_t", total).select(F.col("label").cast("int").alias("label"), F.transform("_e", lambda x: x / F.col("_t")).alias("probs"))
+    powers = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
+    shares = let(powers, lambda e: let(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(e, lambda x: x / total)))
+    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("int").alias("label"), shares.alias("probs"))
 
 
 SPARSE_SQL = f"""
@@ -133,6 +137,19 @@ def streamed_confusion(spark, sf_dir):
     return run_to_end(stream_confusion(stream))
 
 
+@query("stream_predictions", """
+    WITH e AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+    z AS (SELECT vec_id, label, j, sum(v * (((7 * i + 13 * j) % 11 - 5) / 10.0::DOUBLE)) + (j - 4.5::DOUBLE) / 10 AS s FROM e, range(10) r(j) GROUP BY vec_id, label, j),
+    p AS (SELECT vec_id, label::INT AS y_true, arg_max(j, s)::INT AS y_pred FROM z GROUP BY vec_id, label)
+    SELECT y_true, y_pred, count(*)::BIGINT AS n FROM p GROUP BY 1, 2""")
+def stream_predictions(spark, sf_dir):
+    """Vectors scored by a fixed layer as they stream in, confusion cells kept running."""
+    schema = table(spark, sf_dir, "embeddings").schema
+    stream = stream_table(spark, f"{sf_dir}/embeddings.parquet", schema).select(F.col("label").cast("int").alias("y_true"), "embedding")
+    scored = argmax_class(score_dense(stream, fixed_head(), "embedding"))
+    return run_to_end(stream_confusion(scored))
+
+
 @query("alignment", """
     SELECT count(d.doc_id)::BIGINT AS n_truth, count(l.doc_id)::BIGINT AS n_pred, count(*) FILTER (d.doc_id = l.doc_id)::BIGINT AS matched_keys,
            count(*) FILTER (l.doc_id IS NULL)::BIGINT AS short_pred_keys, count(*) FILTER (d.doc_id IS NULL)::BIGINT AS short_truth_keys
