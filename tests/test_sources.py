@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.augment import map_images
 from tidemill.operators.evaluate import confusion_counts
+from tidemill.operators.lifecycle import classify_folders
 from tidemill.plans.scratch import scratch_dir
 from tidemill.sources import files, sinks
 from tidemill.streaming.confusion import run_to_end, stream_confusion, stream_table
@@ -69,6 +70,33 @@ def test_image_job_on_decoded_files(spark, tree):
     assert scaled.agg(F.max(F.array_max("pixels"))).first()[0] <= 1.0
 
 
+def test_listing_and_images_agree_on_paths(spark, tree):
+    root, _ = tree
+    listed = {r.path for r in files.read_labeled_files(spark, root, "*.png").select("path").collect()}
+    decoded = {r.path for r in files.read_images(spark, root, "*.png").collect()}
+    assert decoded < listed
+
+
+def test_folder_lifecycle_on_coloured_images(spark, tmp_path):
+    """Reddish against greenish images, one class grey-scale: easy to tell apart."""
+    rng = np.random.default_rng(2)
+    for side, count in (("Training", 15), ("Test", 6)):
+        for name, colour in (("Lemon 1", [200, 40, 40]), ("Mango 1", [40, 200, 40]), ("Plum 1", None)):
+            folder = tmp_path / side / name
+            folder.mkdir(parents=True)
+            for i in range(count):
+                noise = rng.integers(-20, 20, (6, 5, 3))
+                image = np.full((6, 5), 30) + noise[:, :, 0].clip(0) if colour is None else np.array(colour) + noise
+                write_png(folder / f"{i}.png", image)
+    outcome = classify_folders(spark, str(tmp_path), 4, 4, variants=2, features=12)
+    scores = {r.split: r for r in outcome.scores.collect()}
+    assert {s: r.n for s, r in scores.items()} == {"train": 3 * 12 * 2, "validation": 9, "test": 18}
+    assert scores["test"].accuracy > 0.9
+    cells = outcome.confusion.collect()
+    assert len(cells) == 9 and sum(r.n for r in cells) == 18
+    assert {r.y_true_name for r in cells} == {"Lemon 1", "Mango 1", "Plum 1"}
+
+
 def test_csv_types_and_failfast(spark, fresh):
     path = fresh("csv")
     spark.createDataFrame([("1971", "2300"), ("2018", "23600000000")], "a string, b string").coalesce(1).write.csv(path)

@@ -34,7 +34,7 @@ def moved(values: Column, by: Column, size: int) -> Column:
     return F.concat(F.array_repeat(F.element_at(values, 1), ahead), kept, F.array_repeat(F.element_at(values, -1), back))
 
 
-def nearest_resize(flat: Column, height: int, width: int, channels: int, new_h: int, new_w: int) -> Column:
+def nearest_resize(flat: Column, height, width, channels: int, new_h: int, new_w: int) -> Column:
     """Nearest-neighbour resize of a flat height x width x channels array."""
     def source(i: Column) -> Column:
         row = F.floor(F.floor(i / F.lit(new_w * channels)) * height / F.lit(new_h))

@@ -22,15 +22,24 @@ def exact_split(df: DataFrame, key, fraction: float, seed=42, names=("train", "t
     return flagged.withColumn(out, F.when(F.col("_held_out"), names[1]).otherwise(names[0])).drop("_held_out")
 
 
+def class_cuts(df: DataFrame, key: str, fraction: float, label: str = "label") -> DataFrame:
+    """Per class, the key of the last validation row: rank floor(n * fraction) in key order."""
+    return group_cut(df, label, key, F.floor(F.col("total") * F.lit(float(fraction))))
+
+
+def apply_class_cuts(df: DataFrame, cuts: DataFrame, key: str, label: str = "label", names=("train", "validation"), out: str = "split") -> DataFrame:
+    joined = small_join(df, cuts, label, "left")
+    return joined.withColumn(out, F.when(F.col(key) <= F.col("cut"), names[1]).otherwise(names[0])).drop("cut")
+
+
 def class_split(df: DataFrame, key: str, fraction: float, label: str = "label", names=("train", "validation"), out: str = "split") -> DataFrame:
     """Per class, the first floor(n * fraction) rows by key form the validation side.
 
     ``key`` (a file path, say) must be unique inside its class.  The data is
     compared with one cut value per class; a dominant class is no special case.
+    For files, take the cuts from a listing and apply them to the content.
     """
-    cuts = group_cut(df, label, key, F.floor(F.col("total") * F.lit(float(fraction))))
-    joined = small_join(df, cuts, label, "left")
-    return joined.withColumn(out, F.when(F.col(key) <= F.col("cut"), names[1]).otherwise(names[0])).drop("cut")
+    return apply_class_cuts(df, class_cuts(df, key, fraction, label), key, label, names, out)
 
 
 def global_row_number(df: DataFrame, key, seed=0, out: str = "rank") -> DataFrame:

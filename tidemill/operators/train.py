@@ -201,7 +201,7 @@ def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max
 
 
 ROWS_PER_BUCKET = 50_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 1024
+MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 DRIVER_DOUBLES = 4_000_000
 LOSS_OUTPUT = {"mse": "linear", "binary_ce": "sigmoid", "sparse_ce": "softmax"}
 BUCKET_RESULT = "bucket long, n double, steps double, loss double, correct double, val_n double, val_loss double, val_correct double, params array<double>"

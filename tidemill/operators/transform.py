@@ -110,6 +110,6 @@ def normalize_channels(df: DataFrame, mode: str, channels: int = 3, means: DataF
     return df.withColumn("_m", ordered.scalar()).withColumn(out or col, shifted).drop("_m")
 
 
-def resize_images(df: DataFrame, height: int, width: int, channels: int, new_height: int, new_width: int, col: str = "pixels", out: str | None = None) -> DataFrame:
-    """Nearest-neighbour resize of flat channel-last images."""
+def resize_images(df: DataFrame, height, width, channels: int, new_height: int, new_width: int, col: str = "pixels", out: str | None = None) -> DataFrame:
+    """Nearest-neighbour resize of flat channel-last images; the old size may differ by row (columns)."""
     return df.withColumn(out or col, nearest_resize(F.col(col), height, width, channels, new_height, new_width))

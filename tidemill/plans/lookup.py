@@ -40,5 +40,5 @@ def value_list(small: DataFrame, limit: int = LOOKUP_ROWS) -> list:
     """Sorted distinct values of a one-column table of bounded size, such as class names."""
     rows = small.distinct().limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} classes: pass a class table instead of a list")
+        raise ValueError(f"a grid of more than {limit} x {limit} classes")
     return sorted(r[0] for r in rows)

@@ -103,9 +103,8 @@ FEATURES_SQL = f"""
     d AS MATERIALIZED (SELECT split = 'validation' AS val, y, {', '.join(f'({c} - m{i}) / s{i} AS x{i}' for i, c in enumerate(NUMERIC))} FROM d0, st)"""
 
 
-def logit_sql(rule: str, epochs: int) -> str:
-    """One chain of queries per epoch: sums at the weights, then the update."""
-    k = len(NUMERIC)
+def logit_sql(rule: str, epochs: int, k: int = len(NUMERIC)) -> str:
+    """One chain of queries per epoch: sums at the weights of k features, then the update."""
     every = range(k + 1)
     zeros = ", ".join(f"0::DOUBLE AS w{i}, 0::DOUBLE AS a{i}, 0::DOUBLE AS b{i}" for i in every)
     parts = [f"{rule}_w0 AS (SELECT {zeros})"]

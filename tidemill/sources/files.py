@@ -46,31 +46,35 @@ IMAGE_SCHEMA = T.StructType([
 ])
 
 
-def read_images(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+def read_images(spark: SparkSession, root: str, glob: str = "*", rgb: bool = False) -> DataFrame:
     """Decoded images as flat height x width x channels arrays in R,G,B(,A) order.
 
-    Spark's image source decodes in the JVM (as B,G,R) and drops files it
-    cannot decode; its paths are URL-encoded.
+    With ``rgb`` every image comes out with three channels: grey is repeated,
+    transparency dropped.  Spark's image source decodes in the JVM (as B,G,R) and drops files it
+    cannot decode; its URL-encoded paths are brought to the form of a listing.
     """
     images = (
         spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob).load(root)
         .select(
-            F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B"))).alias("path"),
+            F.regexp_replace(F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B"))), "^file:///", "file:/").alias("path"),
             "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data",
         )
     )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            arrays = []
+            arrays, depths = [], []
             for data, channels in zip(batch.column("data"), batch.column("channels").to_pylist()):
                 pixels = np.frombuffer(data.as_buffer(), dtype=np.uint8).astype(np.float32).reshape(-1, channels)
                 if channels >= 3:
                     pixels = pixels[:, [2, 1, 0, *range(3, channels)]]
+                if rgb:
+                    pixels = np.repeat(pixels, 3, axis=1) if channels == 1 else pixels[:, :3]
                 arrays.append(pixels.ravel())
-            kept = [batch.column(n) for n in ("path", "split", "label", "height", "width", "channels")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(arrays, pa.list_(pa.float32()))], names=IMAGE_SCHEMA.names)
+                depths.append(pixels.shape[1])
+            kept = [batch.column(n) for n in ("path", "split", "label", "height", "width")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(depths, pa.int32()), pa.array(arrays, pa.list_(pa.float32()))], names=IMAGE_SCHEMA.names)
 
     return with_path_labels(images).mapInArrow(decode, IMAGE_SCHEMA)
 
