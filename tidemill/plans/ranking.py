@@ -13,11 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from tidemill.functions.arrays import let
 from tidemill.functions.hashing import as_list, digest
 from tidemill.plans.lookup import null_safe_join, small_join
 
-GROUPS = 64
-SAMPLE = GROUPS * GROUPS - 1
+SAMPLE = 4095
 
 
 def bucket_digits(df: DataFrame) -> int:
@@ -81,33 +81,32 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
 
 
 def _bounds(df: DataFrame, col: str, identity: list) -> DataFrame:
-    """One row: up to 4,095 sorted values of ``col``, in groups of 64.
+    """One row: up to 4,095 sorted values of ``col``.
 
     The values are those with the smallest digests: a uniform sample that is
     the same on every run, read by a top-k (no sort of the table).
     """
     sample = df.select(F.col(col).alias("_v"), digest("bounds", *identity).alias("_h")).orderBy("_h").limit(SAMPLE)
-    ordered = sample.agg(F.array_sort(F.collect_list("_v")).alias("_a"))
-    grouped = ordered.select(
-        F.transform(F.sequence(F.lit(0), F.lit(GROUPS - 1)), lambda i: F.slice("_a", i * GROUPS + 1, F.lit(GROUPS))).alias("groups")
-    )
-    return grouped.select(
-        F.struct(F.transform("groups", lambda g: F.try_element_at(g, F.lit(1))).alias("heads"), F.col("groups"))
-    )
+    return sample.agg(F.array_sort(F.collect_list("_v")).alias("_a"))
 
 
 def value_bucketer(df: DataFrame, col: str, identity: list):
     """A function adding ``_b``, a bucket that grows with ``col``; ``identity`` names a unique key of ``df``."""
     bounds = _bounds(df, col, identity)
+    halves = F.array(*[F.lit(SAMPLE + 1 >> i) for i in range(1, (SAMPLE + 1).bit_length())])
+
+    def search(sorted_bounds: Column) -> Column:
+        """How many bounds are <= the value, by binary search: 12 comparisons."""
+        def step(found: Column, half: Column) -> Column:
+            return found + F.when(F.get(sorted_bounds, found + half - 1) <= F.col(col), half).otherwise(0)
+
+        return F.aggregate(halves, F.lit(0), step)
 
     def add(frame: DataFrame) -> DataFrame:
-        value = F.col(col)
-        group = F.size(F.filter("_bounds.heads", lambda b: b <= value))
-        within = F.size(F.filter(F.element_at("_bounds.groups", F.greatest(F.col("_g"), F.lit(1))), lambda b: b <= value))
         # Never NULL, and said so: a join on it then needs no filter that would
         # compute the bucket a second time.
-        bucket = F.coalesce(F.when(F.col("_g") == 0, 0).otherwise((F.col("_g") - 1) * GROUPS + within), F.lit(0))
-        return frame.withColumn("_bounds", bounds.scalar()).withColumn("_g", group).withColumn("_b", bucket).drop("_bounds", "_g")
+        bucket = F.coalesce(let(F.col("_bounds"), search), F.lit(0))
+        return frame.withColumn("_bounds", bounds.scalar()).withColumn("_b", bucket).drop("_bounds")
 
     return add
 
@@ -132,8 +131,7 @@ def group_cut(df: DataFrame, group: str, order: str, keep: Column) -> DataFrame:
     sorted, so one group may hold most of the rows.
     """
     narrow = df.select(group, order)
-    bucketed = value_bucketer(narrow, order, [group, order])(narrow)
-    cells = bucketed.groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    cells = value_bucketer(narrow, order, [group, order])(narrow).groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     # At most 4,096 cells per group.
     cells = cells.select(
         group, "_b", "_n",
@@ -141,10 +139,14 @@ def group_cut(df: DataFrame, group: str, order: str, keep: Column) -> DataFrame:
         F.sum("_n").over(Window.partitionBy(group)).alias("total"),
     ).withColumn("_k", keep)
     holders = cells.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_start") + F.col("_n")))
-    holders = holders.select(group, "_b", (F.col("_k") - F.col("_start")).alias("_m"))
-    position = F.row_number().over(Window.partitionBy(group, "_b").orderBy(order))
+    # The bucket as a range of values: finding its rows takes two comparisons.
+    holders = holders.withColumn("_bounds", _bounds(narrow, order, [group, order]).scalar()).select(
+        group, (F.col("_k") - F.col("_start")).alias("_m"),
+        F.when(F.col("_b") > 0, F.get("_bounds", F.col("_b") - 1)).alias("_from"), F.get("_bounds", F.col("_b")).alias("_to"))
+    inside = (F.col("_from").isNull() | (F.col(order) >= F.col("_from"))) & (F.col("_to").isNull() | (F.col(order) < F.col("_to")))
+    position = F.row_number().over(Window.partitionBy(group).orderBy(order))
     return (
-        small_join(bucketed, holders, [group, "_b"], "inner")
+        small_join(narrow, holders, group, "inner").where(inside)
         .withColumn("_r", position).where(F.col("_r") == F.col("_m"))
         .select(group, F.col(order).alias("cut"))
     )
