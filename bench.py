@@ -30,7 +30,7 @@ def consume(df) -> None:
 def probes(spark, sf_dir) -> dict:
     """The same shapes as the baseline's probes, on the same cached inputs."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", *NUMERIC)
-    items = items.withColumn("y", (F.col("l_returnflag") == "R").cast("double")).cache()
+    items = items.withColumn("y", (F.col("l_returnflag") == "R").cast("double")).repartition(8).cache()
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(1), F.lit(100))).alias("copy"))
     vectors = vectors.withColumn("embedding", F.col("embedding").cast("array<double>")).repartition(8).cache()
     points = table(spark, sf_dir, "orders").cache()

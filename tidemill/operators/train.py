@@ -148,26 +148,31 @@ def fit_logistic(
     complete = df.select(*[c.alias(n) for n, c in columns.items()]).dropna()
     pruned = complete.select(*[F.coalesce(n, F.lit(0.0)).alias(n) for n in columns])
 
+    # Weights enter as a one-row subquery, so every epoch has the same plan and
+    # compiled code.  One ungrouped aggregate with 0/1 masks costs half of
+    # grouping by side.
+    z = F.get("_w", F.lit(d - 1))
+    for j in range(d - 1):
+        z = z + F.get("_w", F.lit(j)) * F.col(f"_x{j}")
+    probability = 1.0 / (1.0 + F.exp(-z))
+    training = 1.0 - F.col("_v")
+    per_row = {
+        "_loss": binary_cross_entropy(F.col("_y"), F.col("_p")),
+        "_hit": ((F.col("_p") > 0.5).cast("double") == F.col("_y")).cast("double"),
+        "_e": (F.col("_p") - F.col("_y")) * training,
+    }
+    sums = {"n": F.sum(training), "loss": F.sum(F.col("_loss") * training), "hit": F.sum(F.col("_hit") * training)}
+    if split:
+        sums.update(val_n=F.sum("_v"), val_loss=F.sum(F.col("_loss") * F.col("_v")), val_hit=F.sum(F.col("_hit") * F.col("_v")))
+    sums.update({f"g{j}": F.sum(F.col("_e") * F.col(f"_x{j}")) for j in range(d - 1)})
+    sums[f"g{d - 1}"] = F.sum("_e")
+    totals = [value.alias(name) for name, value in sums.items()]
+
     def evaluate(data: DataFrame, w: np.ndarray) -> tuple:
-        """(loss, accuracy) of both sides and the training gradient, from one row of sums.
-
-        One ungrouped aggregate with 0/1 masks: half the cost of grouping by side.
-        """
-        z = F.lit(float(w[-1]))
-        for j in range(d - 1):
-            z = z + F.lit(float(w[j])) * F.col(f"_x{j}")
-        scored = data.withColumn("_p", 1.0 / (1.0 + F.exp(-z)))
-        scored = scored.withColumns({
-            "_loss": binary_cross_entropy(F.col("_y"), F.col("_p")),
-            "_hit": ((F.col("_p") > 0.5).cast("double") == F.col("_y")).cast("double"),
-            "_e": (F.col("_p") - F.col("_y")) * (1.0 - F.col("_v")),
-        })
-        sums = {"n": F.sum(1.0 - F.col("_v")), "loss": F.sum(F.col("_loss") * (1.0 - F.col("_v"))), "hit": F.sum(F.col("_hit") * (1.0 - F.col("_v")))}
-        if split:
-            sums.update(val_n=F.sum("_v"), val_loss=F.sum(F.col("_loss") * F.col("_v")), val_hit=F.sum(F.col("_hit") * F.col("_v")))
-        sums.update({f"g{j}": F.sum(F.col("_e") * F.col(f"_x{j}")) for j in range(d - 1)})
-        sums[f"g{d - 1}"] = F.sum("_e")
-        r = scored.agg(*[s.alias(n) for n, s in sums.items()]).first()
+        """(loss, accuracy) of both sides and the training gradient, from one row of sums."""
+        weights = df.sparkSession.createDataFrame(pa.table({"w": [w.tolist()]}), "w array<double>")
+        scored = data.withColumn("_w", weights.scalar()).withColumn("_p", probability).withColumns(per_row)
+        r = scored.agg(*totals).first()
         train = (r["loss"] / r["n"], r["hit"] / r["n"])
         val = (r["val_loss"] / r["val_n"], r["val_hit"] / r["val_n"]) if split and r["val_n"] else (None, None)
         return train, val, np.array([r[f"g{j}"] for j in range(d)]) / r["n"]
