@@ -66,7 +66,7 @@ def probes(spark, sf_dir) -> dict:
 
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(os.environ.get("BENCH_CPUS", "8"), app="bench")
+    spark = local_session(os.environ.get("BENCH_CPUS", "8"), "16g", app="bench")
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
     jobs = {name: (lambda fn=fn: fn(spark, sf_dir)) for name, fn in QUERIES.items()}
     jobs.update(probes(spark, sf_dir))

@@ -3,6 +3,7 @@
 import os
 import struct
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -122,8 +123,15 @@ def test_dataset_prunes_partitions(spark, fresh):
     assert "PartitionFilters: [isnotnull(split" in plan
 
 
-def test_scratch_needs_the_setting_on_a_cluster(spark, monkeypatch):
+def test_scratch_needs_the_setting_on_a_cluster(spark):
+    def session(master, **settings):
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get, set=settings.__setitem__), sparkContext=SimpleNamespace(master=master))
+
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+    assert scratch_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"}), "x").startswith("hdfs:///shared/x-")
+    assert scratch_dir(session("local[2]"), "x").split("/x-")[0]
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(session("yarn"), "x")
 
 
 def test_streamed_counts_equal_batch_counts_and_resume(spark, sf_dir, fresh):

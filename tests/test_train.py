@@ -12,6 +12,7 @@ from tidemill.operators import train
 from tidemill.operators.score import score_dense
 from tidemill.operators.split import hash_split
 from tidemill.operators.transform import argmax_class
+from tidemill.plans.iterate import kept
 from tidemill.sources.synthetic import synth_samples
 
 
@@ -162,3 +163,24 @@ def test_scheduled_rate_is_recorded(spark, line):
     _, history = train.fit_linear_gd(line, "x", "y", 4, steps=1, schedule=lambda e, lr: 0.001 if e < 2 else 0.0001)
     assert [r.lr for r in history.orderBy("epoch").collect()] == [0.001, 0.001, 0.0001, 0.0001]
     assert math.isfinite(history.agg(F.max("loss")).first()[0])
+
+
+def test_fits_release_what_they_keep(spark, line):
+    df = line.withColumn("label", (F.col("y") > 3).cast("int"))
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    train.fit_logistic(df, "x", "label", 2)
+    train.fit_dense(df.withColumn("f", F.array("x")), "id", "f", "y", [4], "mse", 2)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_kept_spreads_an_overfull_partition_and_leaves_even_ones(spark):
+    with kept(spark.range(4000).coalesce(1)) as data:
+        counts = [r.n for r in data.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert len(counts) >= 4 and max(counts) <= 1100 and sum(counts) == 4000
+    even = spark.range(0, 4000, 1, 4)
+    with kept(even) as data:
+        assert data is not None and data.count() == 4000
+    held = even.persist()
+    with kept(even.select("id"), source=held) as data:
+        assert not data.storageLevel.useMemory
+    held.unpersist()

@@ -66,7 +66,7 @@ def classify_folders(
     """
     listing = read_labeled_files(spark, root, glob).where(F.col("split") == train_folder).select("path", "label")
     dictionary = curate.class_index(listing)
-    names = [r.label for r in dictionary.orderBy("class_index").collect()]  # the class dictionary
+    classes = dictionary.count()
     cuts = split.class_cuts(listing, "path", fraction)
     images = read_images(spark, root, glob, rgb=True)
     sided = split.apply_class_cuts(images, cuts, "path", out="_side")
@@ -78,8 +78,8 @@ def classify_folders(
     path = scratch_dir(spark, "features")
     curate.attach_names(frozen, dictionary, "label").write.parquet(path)
     table = spark.read.parquet(path)
-    state = train.fit_softmax_head(table.where(F.col("split") == "train"), "frozen", "class_index", len(names), max_iter)
-    outcome = _judge_softmax(table.select("split", F.col("class_index").alias("y_true"), F.col("frozen").alias("_x")), "_x", state, None, list(range(len(names))), "test")
+    state = train.fit_softmax_head(table.where(F.col("split") == "train"), "frozen", "class_index", classes, max_iter)
+    outcome = _judge_softmax(table.select("split", F.col("class_index").alias("y_true"), F.col("frozen").alias("_x")), "_x", state, None, list(range(classes)), "test")
     named = outcome.confusion
     for side in ("y_true", "y_pred"):
         named = curate.attach_names(named, dictionary.select(F.col("class_index").alias(side), F.col("label").alias(f"{side}_name")), side)
