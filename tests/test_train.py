@@ -181,6 +181,6 @@ def test_kept_spreads_an_overfull_partition_and_leaves_even_ones(spark):
     with kept(even) as data:
         assert data is not None and data.count() == 4000
     held = even.persist()
-    with kept(even.select("id"), source=held) as data:
+    with kept(even.select((F.col("id") + 1).alias("next")), source=held) as data:
         assert not data.storageLevel.useMemory
     held.unpersist()
