@@ -91,6 +91,13 @@ def test_batches_are_full_and_drop_only_the_remainder(spark):
     assert split.assign_batches(keyed(spark, 1003, 4), "k", 32, drop_remainder=False).count() == 1003
 
 
+def test_repeated_keys_are_reported(spark):
+    frame = keyed(spark, 50, 4)
+    split.check_unique(frame, "k")
+    with pytest.raises(ValueError, match="do not identify a row"):
+        split.check_unique(frame.unionByName(frame.limit(1)), ["k", "g"])
+
+
 def test_epochs_differ(spark):
     a, b = ({r.k: r.position for r in split.shuffle_epoch(keyed(spark, 300, 4), "k", 1, e).collect()} for e in (0, 1))
     assert a != b and sorted(a.values()) == sorted(b.values())

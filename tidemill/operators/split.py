@@ -10,6 +10,17 @@ from tidemill.plans.ranking import first_cut, group_cut, hash_cut, hash_row_numb
 TOP_K_ROWS = 100_000
 
 
+def check_unique(df: DataFrame, key) -> None:
+    """Raise if the columns that exact splits and ranks order by do not identify a row.
+
+    A map-side combined count: a key that repeats often is one row per task.
+    """
+    keys = as_list(key)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).first()
+    if repeated is not None:
+        raise ValueError(f"{keys} do not identify a row: {repeated.asDict()}")
+
+
 def hash_split(df: DataFrame, key, fraction: float, seed=42, names=("train", "validation"), out: str = "split") -> DataFrame:
     """Approximate split: a row's side depends only on its key.  No shuffle."""
     held_out = uniform_below(fraction, seed, *as_list(key))

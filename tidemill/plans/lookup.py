@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LOOKUP_ROWS = 100_000
+LOOKUP_BYTES = 64 * 1024 * 1024
 
 
 def pin_small(small: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
-    """The table as local rows if it has at most ``limit`` of them, else None.
+    """The table as local rows if it has at most ``limit`` of them (and 64 MB), else None.
 
     At most limit + 1 rows ever reach the driver.
     """
     rows = small.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
+    if rows.num_rows > limit or rows.nbytes > LOOKUP_BYTES:
         return None
     return small.sparkSession.createDataFrame(rows, small.schema)
 

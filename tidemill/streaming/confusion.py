@@ -13,6 +13,7 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, files_per
     """A Parquet table, folder or single file, read as a stream of files."""
     # A pattern that matches only the path itself: a plain path to one file is
     # refused by the file source as a base folder.
+    path = path.rstrip("/")
     pattern = f"{path[:-1]}[{path[-1]}]"
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(pattern)
 
