@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from tidemill.llm.common import kept, narrow
 from tidemill.plans.scratch import scratch_dir
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORE = "spark.sql.streaming.stateStore"
+#: RocksDB state whose commits upload changes instead of snapshots, and whose many small stores don't reserve disk ahead.
+STATE_SETTINGS = {
+    f"{_STORE}.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    f"{_STORE}.rocksdb.changelogCheckpointing.enabled": "true",
+    f"{_STORE}.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalised(text: str = "text"):
@@ -46,13 +51,15 @@ def run_stream(spark: SparkSession, path: str, schema, files_per_batch: int | No
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE_SETTINGS}
     try:
+        for k, v in STATE_SETTINGS.items():
+            spark.conf.set(k, v)
         writer = seen(reader.parquet(path)).writeStream.outputMode("update").option("checkpointLocation", log)
         writer.foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/batch={n}")).trigger(availableNow=True).start().awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     shape = seen(spark.createDataFrame([], schema)).schema
     entries = spark.read.schema(shape).parquet(out)
     return entries.groupBy("digest").agg(F.min("holder").alias("holder"), F.max("group_size").alias("group_size"))
