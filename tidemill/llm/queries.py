@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm import chat, exact, jaccard, lines, mixing
+from tidemill.llm import bpe, chat, exact, jaccard, lines, mixing
 from tidemill.llm.common import table
 
 QUERIES: dict = {}
@@ -55,3 +55,8 @@ def _exact(spark, sf_dir) -> DataFrame:
 def _lines(spark, sf_dir) -> DataFrame:
     out = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "source", "text", "n_lines", "n_dropped")
+
+
+@query("op4_prefix_bpe_round_trip")
+def _bpe(spark, sf_dir) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
