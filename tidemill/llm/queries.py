@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, chat, exact, jaccard, lines, mixing
-from tidemill.llm.common import table
+from tidemill.llm import bpe, chat, exact, jaccard, langid, lines, mixing, tokenfiles
+from tidemill.llm.common import kept, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -60,3 +60,17 @@ def _lines(spark, sf_dir) -> DataFrame:
 @query("op4_prefix_bpe_round_trip")
 def _bpe(spark, sf_dir) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query("op1_crf_language_id")
+def _language(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out()))
+    found = langid.predict(docs.select("doc_id", langid.held_out().alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "n_words")
+
+
+@query("op10_separator_scan")
+def _tokens(spark, sf_dir) -> DataFrame:
+    files = kept(tokenfiles.flat_files(table(spark, sf_dir, "documents")), "token-files")
+    return tokenfiles.document_tokens(files)
