@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, chat, exact, jaccard, langid, lines, mixing, tokenfiles
+from tidemill.llm import bpe, chat, exact, html, jaccard, langid, lines, mixing, neighbours, tokenfiles
 from tidemill.llm.common import kept, table
 
 QUERIES: dict = {}
@@ -74,3 +74,14 @@ def _language(spark, sf_dir) -> DataFrame:
 def _tokens(spark, sf_dir) -> DataFrame:
     files = kept(tokenfiles.flat_files(table(spark, sf_dir, "documents")), "token-files")
     return tokenfiles.document_tokens(files)
+
+
+@query("op3_wrapper_extraction")
+def _html(spark, sf_dir) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op8_permutation_index")
+def _neighbours(spark, sf_dir) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
