@@ -79,8 +79,13 @@ def index_lists(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def star_links(entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each set against the first set of its lists that it meets most often: (d1, pivot, inter, na) of the similar ones."""
-    first = entries.groupBy("token").agg(F.min("d1").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1").select("token", "pivot")
+    """Each set against the head of its lists that it meets most often: (d1, pivot, inter, na) of the similar ones.
+
+    The head of a list is the set that has the token earliest, so the one with
+    least of its own: of a group of edited copies the least edited.
+    """
+    heads = entries.groupBy("token").agg(F.min(F.struct("pos", "d1")).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    first = heads.select("token", F.col("head.d1").alias("pivot"))
     votes = entries.join(first, "token").where("d1 <> pivot").groupBy("d1", "pivot").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("d1").agg(F.max(F.struct("votes", "pivot")).alias("b")).select("d1", F.col("b.pivot").alias("pivot"))
     return kept(_overlap(kept(best, "star"), sets, "d1", "pivot").where(_similar(percent)), "star-links")
