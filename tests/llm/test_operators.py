@@ -1,0 +1,362 @@
+"""Operators on rows the tables lack: nulls, empty and long texts, ties, repeats, empty tables, clashing names; each against brute force."""
+
+import base64
+import hashlib
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from pyspark.sql import functions as F
+
+from tidemill.llm import bpe, chat, exact, html, jaccard, langid, lines, mixing, neighbours, tokenfiles
+from tidemill.llm.common import components, table
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, digest string, token string, page string, component_id long"
+
+
+def docs(spark, rows):
+    """Rows (doc_id, text[, lang[, source]]) with columns whose names the operators use themselves."""
+    full = [(r[0], r[1], r[2] if len(r) > 2 else "en", r[3] if len(r) > 3 else "s", None, "x", "y", "z", 7) for r in rows]
+    return spark.createDataFrame(full, DOCS)
+
+
+ODD = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (4, "one"), (None, "one"), (5, "one  two\x0bthree"), (6, "one two three"), (7, "wörd 🙂 " * 3000), (8, "wörd 🙂 " * 3000)]
+
+
+# 2: Jaccard join
+
+
+def shingle_set(text, k=4):
+    w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return frozenset([tuple(w)] if 0 < len(w) < k else [tuple(w[i : i + k]) for i in range(len(w) - k + 1)])
+
+
+def brute_groups(rows):
+    sets = [(i, shingle_set(t)) for i, t in rows]
+    up = list(range(len(sets)))
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, (_, a) in enumerate(sets):
+        for j, (_, b) in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+                up[root(i)] = root(j)
+    least = defaultdict(list)
+    for i, (key, s) in enumerate(sets):
+        if s and key is not None:
+            least[root(i)].append(key)
+    return sorted(((k, len(s), min(least[root(i)], default=None) if s else k) for i, (k, s) in enumerate(sets)), key=str)
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"w{rng.randrange(10**6)}"
+    return words
+
+
+def test_jaccard_matches_brute_force_on_groups_and_shared_passages(spark):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(60)]
+    rows, key = [], 0
+    for size, edits in ((40, 3), (25, 5), (3, 1), (2, 9)):
+        base = [f"b{rng.randrange(10**6)}" for _ in range(120)]
+        for _ in range(size):
+            rows.append((key := key + 1, " ".join(edited(rng, base, rng.randrange(edits + 1)))))
+    for _ in range(40):
+        rows.append((key := key + 1, " ".join(passage + [f"t{rng.randrange(9)}" for _ in range(rng.randrange(1, 12))])))
+    for n in range(1, 16):
+        rows += [(key := key + 1, " ".join(f"s{i}" for i in range(n))), (key := key + 1, " ".join(f"S{i}" for i in range(n + 1)))]
+    got = jaccard.near_groups(docs(spark, rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute_groups(rows)
+
+
+def test_jaccard_odd_rows(spark):
+    got = jaccard.near_groups(docs(spark, ODD)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_groups(ODD)
+    assert jaccard.near_groups(docs(spark, [])).count() == 0
+    left = jaccard.one_per_group(docs(spark, ODD))
+    assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([1, 2, 3, 4, 4, 5, 7, None], key=str)
+    assert left.columns == docs(spark, []).columns
+
+
+def test_components_of_a_long_path_and_a_hub(spark):
+    pairs = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 60)] + [(300, 299), (299, 300), (5, 5)]
+    got = dict(map(tuple, components(spark.createDataFrame(pairs, "a long, b long"), "test").collect()))
+    assert {got[i] for i in range(100, 161)} == {100} and {got[i] for i in range(8, 60)} == {7} and got[300] == 299 and 5 not in got
+
+
+# 4: BPE
+
+
+@pytest.fixture(scope="module")
+def reference():
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_bpe_encodes_like_the_library(spark, sf_dir, reference):
+    rng = random.Random(1)
+    made = ["".join(rng.choice("aaeinst thé  \n012,.!ßñ🙂中<|") for _ in range(rng.randrange(60))) for _ in range(400)]
+    rows = [(i, t) for i, t in enumerate([None, "", " ", "a" * 3000, "ab" * 2000, "<|endoftext|>", *made])]
+    both = docs(spark, rows).select("doc_id", "text").union(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    texts = Counter((r.doc_id, r.text) for r in both.collect())
+    want = Counter()
+    for (key, t), n in texts.items():
+        ids = np.array(reference.encode_ordinary(t or ""), dtype="<u4")
+        want[key, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()] += n
+    assert Counter(map(tuple, bpe.round_trip(both).collect())) == want
+    assert bpe.round_trip(docs(spark, [])).count() == 0
+
+
+def test_bpe_appends_and_edits_give_the_same_ids(reference):
+    rng, enc = random.Random(3), bpe.encoder()
+    for _ in range(60):
+        at = bpe.Edited(enc, "Das ist the first text, 12 ou 13.\n  Fin." * 3)
+        for _ in range(5):
+            a = rng.randrange(len(at.text) + 1)
+            at.replace(a, min(len(at.text), a + rng.randrange(6)), rng.choice(["", " x", "  ", "\n\n", "é", "zum 12", "'s"]))
+            at.append(rng.choice(["s", " ", "and", "\n"]))
+            assert at.ids() == reference.encode_ordinary(at.text)
+            assert at.renewed < 12
+
+
+# 10: token counts
+
+
+@pytest.mark.parametrize("block", [2, 6, 64, 1 << 20])
+def test_separator_scan_over_any_blocks(spark, block, reference):
+    rows = [(i, t) for i, (_, t) in enumerate(ODD)] + [(99, None)]
+    files = tokenfiles.flat_files(docs(spark, rows).repartition(3), block=block)
+    got = tokenfiles.document_tokens(files).select("doc_id", "n_tokens").collect()
+    assert sorted(map(tuple, got)) == sorted((k, len(reference.encode_ordinary(t or ""))) for k, t in rows)
+
+
+def test_separator_scan_of_raw_files(spark, tmp_path):
+    for name, ids in (("a", [1, 2, 9, 9, 3]), ("b", [9]), ("c", []), ("d", [4] * 50)):
+        (tmp_path / name).write_bytes(np.array(ids, "<u2").tobytes())
+    got = tokenfiles.count_tokens(tokenfiles.read_flat(spark, str(tmp_path), 4), end=9).collect()
+    found = sorted((r.file[-1], r.ordinal, r.n_tokens, r.terminated) for r in got)
+    assert found == [("a", 0, 2, True), ("a", 1, 0, True), ("a", 2, 1, False), ("b", 0, 0, True), ("d", 0, 50, False)]
+
+
+# 1: language
+
+
+def test_language_held_out_accuracy_and_odd_rows(spark, sf_dir):
+    data = table(spark, sf_dir, "documents")
+    model = langid.fit(data.where(~langid.held_out()), epochs=12)
+    found = langid.predict(data.where(langid.held_out()), model)
+    right = found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right >= 0.95
+    odd = langid.predict(docs(spark, [*ODD, (9, "12 ½ ..."), (10, "x" * 100_000)]).withColumn("score", F.lit("old")), model)
+    by = {r.doc_id: r for r in odd.collect()}
+    assert all(by[i].lang_pred == "und" and by[i].score == 0 for i in (1, 2, 3, 9))
+    assert by[10].lang_pred in model.labels and 0 <= by[10].score <= 1
+    none = langid.fit(docs(spark, [(1, "abc", None), (2, None, "en")]))
+    assert [r.lang_pred for r in langid.predict(docs(spark, [(1, "abc")]), none).collect()] == ["und"]
+    assert langid.predict(docs(spark, []), model).count() == 0
+
+
+def test_forward_backward_is_the_sum_over_all_paths():
+    rng = np.random.default_rng(2)
+    score, start, change = rng.normal(size=(1, 4, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
+    total, post, pair = 0.0, np.zeros((4, 3)), np.zeros((3, 3))
+    for path in np.ndindex(3, 3, 3, 3):
+        p = np.exp(start[path[0]] + sum(score[0, t, y] for t, y in enumerate(path)) + sum(change[a, b] for a, b in zip(path, path[1:])))
+        total += p
+        for t, y in enumerate(path):
+            post[t, y] += p
+        for a, b in zip(path, path[1:]):
+            pair[a, b] += p
+    padded = np.concatenate([score, np.zeros((1, 3, 3))], axis=1)
+    changes = np.zeros((3, 3))
+    got = langid.posteriors(padded, np.array([4]), start, change, changes)
+    assert np.allclose(got[0, :4], post / total) and np.allclose(changes, pair / total)
+
+
+def test_code_switched_text_comes_as_runs(spark, sf_dir):
+    data = table(spark, sf_dir, "documents")
+    model = langid.fit(data, epochs=12)
+    en, de = ("the of and that with the thing was for the " * 4), ("der und die nicht zu den mit sich auf das " * 4)
+    got = langid.runs(docs(spark, [(1, en + de), (2, None)]), model).orderBy("run").collect()
+    assert [r.lang for r in got] == ["en", "de"] and sum(r.n_words for r in got) == 80 and abs(got[0].n_words - 40) <= 3
+
+
+# 7: exact dedup
+
+
+def brute_exact(rows):
+    body = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    groups = defaultdict(list)
+    for k, t in rows:
+        groups[body(t)].append(k)
+    first = lambda ks: min((k for k in ks if k is not None), default=None)
+    return sorted(((k, first(groups[body(t)]), len(groups[body(t)]), hashlib.sha256(body(t).encode()).hexdigest()) for k, t in rows), key=str)
+
+
+@pytest.mark.parametrize("digest", [exact.sha256, lambda t: F.length(t).cast("string"), lambda t: F.lit("same")])
+def test_exact_dedup_even_if_digests_collide(spark, digest):
+    rows = [*ODD, (11, "one two\tthree"), (12, "eno"), (13, "eno")]
+    got = exact.dedup(docs(spark, rows), digest=digest).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == brute_exact(rows)
+    assert Counter(r.text_sha256 for r in got if r.kept) == Counter({r.text_sha256: 1 for r in got})
+    assert all(r.doc_id == r.keep_id for r in got if r.kept)
+
+
+def test_exact_dedup_batches_and_empty(spark):
+    rows = [(i % 17, f"text {i % 5}") for i in range(60)]
+    got = exact.dedup(docs(spark, rows).repartition(6), files_per_batch=2).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == brute_exact(rows)
+    assert sum(r.kept for r in got) == 5
+    assert exact.dedup(docs(spark, [])).count() == 0
+
+
+# 9: lines
+
+
+def test_line_dedup_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(i, "\n".join(rng.choice(["menu", "foot", f"own {i}", f"own {i} b", "", "rare"] + ["menu"] * 3) for _ in range(rng.randrange(6))), "en", rng.choice(["a", "a", None, "b"])) for i in range(80)]
+    rows += [(100, None, "en", "a"), (101, "menu", "en", "new"), (102, rows[0][1], "en", rows[0][3])]
+    pages = defaultdict(set)
+    for _, t, _, s in rows:
+        if t is not None:
+            pages[s or ""].add(t)
+    count = Counter((s, x) for s, ts in pages.items() for t in ts for x in set(t.split("\n")))
+    bad = {(s, x) for (s, x), n in count.items() if x and n >= 5 and n > 0.3 * len(pages[s])}
+    want = sorted((k, None if t is None else "\n".join(x for x in t.split("\n") if (s or "", x) not in bad)) for k, t, _, s in rows)
+    got = lines.drop_boilerplate(docs(spark, rows), ratio=0.3)
+    assert bad and sorted((r.doc_id, r.text) for r in got.collect()) == want
+    assert lines.drop_boilerplate(docs(spark, [])).count() == 0
+    assert set(docs(spark, []).columns) < set(got.columns)
+
+
+# 5: mixing
+
+
+def test_mixing_rates_counts_and_order(spark):
+    rows = [(i, "abcd" * (1 + i % 3), "en", ["a", "b", "b", "b", None][i % 5]) for i in range(4000)] + [(None, None, "en", "c"), (5000, "", "en", "c")]
+    rates = {r["_source"]: r for r in mixing.rates(docs(spark, rows), {"a": 3.0, "b": 1.0}).collect()}
+    size = sum(max(1, len(t or "")) for _, t, _, _ in rows)
+    assert rates["c"].rate == rates[""].rate == 0 and abs(rates["a"].rate - 0.75 * size / rates["a"]["size"]) < 1e-9
+    got = mixing.mix(docs(spark, rows), {"a": 3.0, "b": 1.0}).collect()
+    n = Counter(r.source for r in got)
+    assert set(n) == {"a", "b"} and abs(n["a"] / (800 * rates["a"].rate) - 1) < 0.1 and abs(n["b"] / (2400 * rates["b"].rate) - 1) < 0.1
+    again = mixing.mix(docs(spark, rows).repartition(5), {"a": 3.0, "b": 1.0}).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    assert len({r.shuffle_key for r in got}) == len(got)
+    assert mixing.mix(docs(spark, [])).count() == 0
+    many = mixing.mix(docs(spark, [(1, "a", "en", "x"), (2, "b" * 5000, "en", "y")]), {"x": 1.0, "y": 1.0}).where("doc_id = 1").count()
+    assert abs(many - 2500) < 250  # a rate far above one part
+
+
+# 6: chats
+
+
+def brute_links(messages):
+    out = {}
+    for c, t, _, text in messages:
+        lines = (text or "").split("\n")
+        own = [x for x in lines if not x.startswith(">")]
+        votes = Counter()
+        for x in lines:
+            level = len(re.match(r"[> ]*", x)[0].replace(" ", "")) if x.startswith(">") else 0
+            body = re.sub(r"\s+", " ", re.sub(r"^[> ]*", "", x).lower()).strip()
+            if level and body and not body.endswith("wrote:"):
+                earlier = [u for d, u, _, w in messages if d == c and u < t and body in [re.sub(r"\s+", " ", y.lower()).strip() for y in (w or "").split("\n") if not y.startswith(">")]]
+                if earlier:
+                    votes[-level, max(earlier)] += 1
+        best = max(votes.items(), key=lambda v: (v[0][0], v[1], v[0][1]), default=None)
+        out[c, t] = (best[0][1] if best else None, [x for x in own if not x.endswith("wrote:")])
+    return out
+
+
+def test_quotes_are_linked_and_removed(spark):
+    messages = [
+        (1, 0, "user", "Hello there.\nHow does it work?"),
+        (1, 1, "assistant", "Like this.\nHow does it work?\nAnd that."),
+        (1, 2, "user", "On Monday A wrote:\n> Hello   THERE.\nI see."),
+        (1, 3, "user", "> And that.\n> > Hello there.\n> > How does it work?\nOk"),
+        (1, 4, "assistant", "> I see.\n>\n> unknown line\nFine."),
+        (1, 5, "user", "> How does it work?\nAgain"),
+        (2, 0, "user", "> Hello there.\nOther conversation"),
+        (2, 1, None, None),
+    ]
+    shape = "conv_id long, turn long, role string, text string"
+    got = chat.format_chats(spark.createDataFrame(messages, shape).withColumn("thread", F.lit("x")).withColumn("content", F.lit(1)))
+    rows = got.collect()
+    want = brute_links(messages)
+    assert {(r.conv_id, r.turn): r.reply_to for r in rows} == {k: v[0] for k, v in want.items()}
+    assert {(r.conv_id, r.turn): r.content for r in rows} == {k: "\n".join(v[1]).strip() for k, v in want.items()}
+    by = {(r.conv_id, r.turn): r for r in rows}
+    assert by[1, 4].thread == 0 and by[1, 4].depth == 2 and by[1, 3].thread == 1 and by[1, 3].max_level == 2
+    assert [(r.conv_id, r.thread, r.turn) for r in rows] == sorted((r.conv_id, r.thread, r.turn) for r in rows)
+    assert by[2, 1].role == "unknown" and by[2, 1].chat == "<|unknown|>\n\n<|end|>\n"
+    odd = spark.createDataFrame([(None, 1, "user", "> a\nb"), (1, None, "user", "a"), (1, 1, "user", "a"), (1, 1, "user", "a")], shape)
+    assert chat.format_chats(odd).count() == 4 and chat.format_chats(odd.limit(0)).count() == 0
+
+
+# 8: neighbours
+
+
+def test_neighbours_recall_ties_and_odd_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 16)).astype(np.float32)
+    x[100:140] = x[0]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(9000, None), (9100, [0.0] * 16), (9200, [float("nan")] * 16), (9300, [1.0] * 3), (9400, [None] + [1.0] * 15), (None, [1.0] * 16), (9500, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit(1)).withColumn("v", F.lit("x"))
+    asked = df.where("vec_id % 100 = 0")
+    got = neighbours.search(df, asked, share=0.2, least=50)
+    found = defaultdict(list)
+    for r in got.orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    assert sorted(found) == list(range(0, 3000, 100))
+    hits = 0
+    for q, near in found.items():
+        d = np.sqrt(((x.astype(float) - x[q].astype(float)) ** 2).sum(axis=1))
+        d[q] = np.inf
+        want = np.lexsort((np.arange(3000), d))[:10]
+        hits += len({v for v, _ in near} & set(want.tolist()))
+        assert [s for _, s in near] == sorted(s for _, s in near) and all(abs(d[v] - s) < 1e-12 for v, s in near)
+    assert hits / 300 >= 0.9
+    assert [v for v, _ in found[0]] == list(range(100, 110))  # equal distances: smaller identifiers
+    few = neighbours.search(df.where("vec_id < 5"), asked.where("vec_id = 0"))
+    assert few.count() == 4 and neighbours.search(df.limit(0), asked.limit(0)).count() == 0
+
+
+# 3: pages
+
+PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
+<nav><ul><li><a href=/a>Menu {i}</a></ul></nav><div class="cookie-notice">We use cookies</div>
+<div id=main><article><h1>Title &amp; {i}</h1><p><b>First   par {i}<br><p>Second <a href="x>y">link</a>&nbsp;{i}<!-- c --> end
+<ul><li>one {i}<li>two</ul><div class="share">Share {i}</div><p>Read more at our shop</p></article>
+<section class="comments"><p>A reader {i}</p></section></div>
+<aside>Side {i}</aside><form><input><p>Mail?</p></form><footer>&copy; x {i}</footer></body>"""
+
+
+def test_pages_keep_the_article_and_lose_the_template(spark):
+    rows = [(i, f"http://h.example/{i}", PAGE.format(i=i)) for i in range(8)]
+    rows += [(20, "http://one.example/", "<body><div><p>No article here.</p><p>Second &lt;b&gt;</p><ul><li><a>all link</a></ul></div><div class='footer'>f</div>"), (21, None, None), (22, "//h", ""), (23, "http://h.example/x", "plain 1 < 2 text"), (24, "u", "<div>" * 3000 + "deep" + "</div>" * 3000)]
+    got = {r.page_id: r for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit(0)).withColumn("text", F.lit("t"))).collect()}
+    for i in range(8):
+        assert got[i].text == f"Title & {i}\n\nFirst par {i}\n\nSecond link {i} end\n\none {i}", got[i].text
+        assert got[i].n_chars == len(got[i].text)
+    assert got[20].text == "No article here.\n\nSecond <b>" and got[21].text == got[22].text == "" and got[23].text == "plain 1 < 2 text" and got[24].text == "deep"
+    assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_tree_matching_is_the_largest():
+    a, b = "r(x(p),y,z(q,p))", "r(y,x(p,q),z(p))"
+    got = html.align(a, b)
+    assert sum(m >= 0 for m in got) == 5 and got[0] == 0

@@ -191,9 +191,9 @@ class Labeller:
         split = [WORD.findall(t.lower()) for t in texts]
         count = np.array([len(s) for s in split], dtype=np.int64)
         total = int(count.sum())
-        if not total:
-            return split, np.zeros((0, len(self.model.labels)))
-        score = self.score[self._numbers([w for s in split for w in s])] if total else None
+        if not total or not self.model.labels:
+            return split, np.zeros((total, len(self.model.labels)))
+        score = self.score[self._numbers([w for s in split for w in s])]
         per = -(-count // CHAIN)
         first = np.concatenate([np.arange(p) * CHAIN for p in per.tolist()]) + np.repeat(np.cumsum(count) - count, per)
         stop = np.minimum(first + CHAIN, np.repeat(np.cumsum(count), per))
