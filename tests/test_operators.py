@@ -51,7 +51,7 @@ def test_link_once_adds_nothing_twice(spark):
     manifest = spark.createDataFrame([("a",), ("a",)], "k string")
     df = spark.createDataFrame([("a",), ("b",), ("b",)], "k string")
     first = curate.link_once(df, manifest, "k")
-    assert sorted((r.k, r.status) for r in first.collect()) == [("a", "exists"), ("b", "linked"), ("b", "linked")]
+    assert sorted((r.k, r.status) for r in first.collect()) == [("a", "exists"), ("b", "exists"), ("b", "linked")]
     manifest = manifest.unionByName(first.where("status = 'linked'").select("k"))
     assert {r.status for r in curate.link_once(df, manifest, "k").collect()} == {"exists"}
 
@@ -202,3 +202,28 @@ def test_run_store(spark, fresh):
     assert {r.run_id: r["rank"] for r in track.compare_runs(store.metrics(), "loss").collect()} == {run: 1, other: 2}
     plan = store.metrics().where("experiment = 'check'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(experiment" in plan
+
+
+def test_links_are_appended_once(spark, fresh):
+    path = fresh("manifest")
+    df = spark.createDataFrame([("a",), (None,), (None,), ("a",), ("b",)], "k string")
+    for expected in (3, 0):
+        try:
+            manifest = spark.read.schema("k string").parquet(path)
+        except Exception:
+            manifest = df.limit(0)
+        marked = curate.link_once(df, manifest, "k")
+        assert marked.where("status = 'linked'").count() == expected
+        curate.append_links(marked, path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_ragged_vectors_raise_and_missing_ones_stay_missing(spark):
+    from tidemill.operators.score import extract_features
+
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, None), (3, [3.0, 4.0])], "id int, v array<double>")
+    got = {r.id: r.frozen for r in extract_features(df, "v", 2, 2, fn=lambda x: x * 2).collect()}
+    assert got == {1: [2.0, 4.0], 2: None, 3: [6.0, 8.0]}
+    ragged = spark.createDataFrame([([1.0, 2.0, 3.0],), ([1.0, 2.0, 3.0, 4.0, 5.0],)], "v array<double>").coalesce(1)
+    with pytest.raises(Exception, match="one length"):
+        extract_features(ragged, "v", 4, 2, fn=lambda x: x).collect()

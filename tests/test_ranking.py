@@ -123,3 +123,12 @@ def test_no_data_sized_single_partition_exchange(spark, sf_dir):
         assert "count(1)" in part.split("FileScan")[0]
     flagged = split.exact_split(orders, "o_orderkey", 0.3)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in flagged.split("+- Subquery")[0].split(":- Subquery")[0]
+
+
+def test_take_first_gives_the_same_values_either_way(spark, monkeypatch):
+    frame = spark.range(6000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE id % 1500 END AS v")
+    want = [r.v for r in split.take_first(frame, "v", 5000).collect()]
+    monkeypatch.setattr(split, "TOP_K_ROWS", 10)
+    for n in (30, 5000, 7000):
+        got = sorted((r.v for r in split.take_first(frame, "v", n).collect()), key=lambda v: (v is not None, v or 0))
+        assert len(got) == min(n, 6000) and (n != 5000 or got == want)

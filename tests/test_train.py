@@ -184,3 +184,41 @@ def test_kept_spreads_an_overfull_partition_and_leaves_even_ones(spark):
     with kept(even.select((F.col("id") + 1).alias("next")), source=held) as data:
         assert not data.storageLevel.useMemory
     held.unpersist()
+
+
+def test_linear_descent_leaves_out_incomplete_rows_and_takes_all_steps(spark):
+    rows = [(float(i % 17) / 10, None if i % 5 == 0 else 3 + 2 * (i % 17) / 10) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    fit = dict(optimizer=Optimizer("sgd", 0.05, 0.5))
+    state, history = train.fit_linear_gd(df, "x", "y", 3, **fit)
+    assert state.step == 3 * 75 and np.allclose(state.weights, [2, 3], atol=1e-3)
+    old, train.STEPS_ONE_BY_ONE = train.STEPS_ONE_BY_ONE, 10**9
+    try:
+        slow, slow_history = train.fit_linear_gd(df, "x", "y", 3, **fit)
+    finally:
+        train.STEPS_ONE_BY_ONE = old
+    assert np.allclose(state.weights, slow.weights) and np.allclose(state.slots, slow.slots)
+    assert np.allclose([r.loss for r in history.orderBy("epoch").collect()], [r.loss for r in slow_history.orderBy("epoch").collect()])
+
+
+def test_resume_continues_schedule_and_epochs(spark):
+    df = blobs(spark, 200).withColumn("f", F.col("x")[0])
+    halve = lambda epoch, lr: lr / 2
+    fit = dict(optimizer=Optimizer("sgd", 0.1), schedule=halve)
+    for kind, args in ((train.fit_logistic, (["f"], "label")), (train.fit_linear_gd, (["f"], "label"))):
+        whole, all_rows = kind(df, *args, 3, **fit)
+        part, _ = kind(df, *args, 1, **fit)
+        rest, rows = train.resume(kind, part, df, *args, 2, **fit)
+        assert np.allclose(rest.weights, whole.weights) and rest.epoch == 3
+        assert [(r.epoch, r.lr) for r in rows.orderBy("epoch").collect()] == [(r.epoch, r.lr) for r in all_rows.orderBy("epoch").collect()][1:]
+
+
+def test_dense_resume_with_dropout_equals_one_go(spark):
+    df = blobs(spark, 300)
+    fit = dict(hidden=[8], loss="sparse_ce", outputs=3, optimizer=Optimizer("sgd", 0.05), dropout=0.3, schedule=lambda e, lr: lr / 2)
+    whole, _ = train.fit_dense(df, "id", "x", "label", epochs=3, **fit)
+    part, _ = train.fit_dense(df, "id", "x", "label", epochs=1, **fit)
+    rest, _ = train.resume(train.fit_dense, part, df, "id", "x", "label", epochs=2, **fit)
+    assert np.allclose(rest.weights, whole.weights)
+    with pytest.raises(ValueError):
+        train.fit_dense(df.limit(0), "id", "x", "label", epochs=1, **fit)

@@ -83,3 +83,12 @@ def gradient(flat: np.ndarray, widths: list[int], x: np.ndarray, y: np.ndarray,
             if masks[i - 1] is not None:
                 delta = delta * masks[i - 1]
     return pack(grads[::-1]), loss, correct
+
+
+def matrix(column) -> np.ndarray:
+    """An Arrow column of vectors as (rows, values); all must be present, complete and of one length."""
+    lengths = column.value_lengths().unique().to_pylist()
+    values = column.flatten()
+    if len(lengths) != 1 or lengths[0] is None or values.null_count:
+        raise ValueError(f"vectors need one length and no missing values; lengths here: {sorted(lengths, key=str)}, missing values: {values.null_count}")
+    return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), lengths[0])

@@ -7,6 +7,12 @@ CLIP = 1e-7
 
 
 def clipped(p: Column) -> Column:
+    """Away from 0 and 1; NaN and NULL stay what they are, so a diverged model shows."""
+    p = p.cast("double")
+    return F.when(p.isNull() | F.isnan(p), p).otherwise(_inside(p))
+
+
+def _inside(p: Column) -> Column:
     return F.least(F.greatest(p, F.lit(CLIP)), F.lit(1.0 - CLIP))
 
 
@@ -29,4 +35,5 @@ def sparse_cross_entropy(label: Column, probs: Column) -> Column:
 
 
 def correct(y: Column, yhat: Column) -> Column:
-    return (y == yhat).cast("double")
+    """A missing prediction or label is not correct."""
+    return F.coalesce(y == yhat, F.lit(False)).cast("double")

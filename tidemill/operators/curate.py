@@ -6,7 +6,7 @@ from pyspark.sql import Window
 
 from tidemill.functions.arrays import indicator
 from tidemill.functions.hashing import as_list
-from tidemill.plans.lookup import pin_small, small_join
+from tidemill.plans.lookup import null_safe_join, pin_small, small_join
 from tidemill.plans.ranking import ordered_row_number
 
 
@@ -35,16 +35,23 @@ def missing_classes(df: DataFrame, classes: list, splits: list, split: str = "sp
 
 
 def link_once(df: DataFrame, manifest: DataFrame, key) -> DataFrame:
-    """Mark each entry ``exists`` if the manifest has it, else ``linked``.
+    """Mark each entry ``exists`` if the manifest or an earlier entry has its key, else ``linked``.
 
-    Appending only the ``linked`` rows makes repeated runs add nothing.  Both
-    sides may be large: a shuffle join on the entry key, skew split by
-    adaptive execution.
+    NULL keys are equal to each other.  Appending only the ``linked`` rows
+    makes repeated runs add nothing.  Both sides may be large: a shuffle join
+    on the entry key, skew split by adaptive execution; repeats are numbered
+    in a stream that holds one row at a time.
     """
     keys = as_list(key)
     known = manifest.select(*keys).distinct().withColumn("_known", F.lit(True))
-    joined = df.join(known, keys, "left")
-    return joined.withColumn("status", F.when(F.col("_known"), "exists").otherwise("linked")).drop("_known")
+    joined = null_safe_join(df, known, keys, "left")
+    first = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns))) == 1
+    return joined.withColumn("_first", first).withColumn("status", F.when(F.col("_first") & F.col("_known").isNull(), "linked").otherwise("exists")).drop("_known", "_first")
+
+
+def append_links(marked: DataFrame, path: str) -> None:
+    """Add the ``linked`` rows to a manifest folder."""
+    marked.where(F.col("status") == "linked").drop("status").write.mode("append").parquet(path)
 
 
 def split_listing(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:
@@ -74,10 +81,10 @@ def with_class_index(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def sample_counts(df: DataFrame, split: str = "split", label: str = "label") -> DataFrame:
-    """Rows per split and class, per split, and in total (NULL stands for all)."""
+    """Rows per split and class, per split, and in total; ``level`` is 0, 1 and 3, which tells a total from a missing label."""
     # Counting first keeps the rollup's threefold expansion off the data.
     counts = df.groupBy(split, label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.rollup(split, label).agg(F.sum("n").alias("n"))
+    return counts.rollup(split, label).agg(F.sum("n").alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
 def one_hot(df: DataFrame, label: str, k: int, out: str = "one_hot") -> DataFrame:

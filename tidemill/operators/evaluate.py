@@ -48,20 +48,23 @@ def _class_values(classes) -> list:
 
 
 def confusion_grid(counts: DataFrame, classes) -> DataFrame:
-    """All K x K cells, zeros included, whatever classes the data happens to hold."""
-    literals = F.array(*[F.lit(c) for c in _class_values(classes)])
+    """All K x K cells, zeros included, and the observed cells of classes not listed (or NULL): n sums to the counted rows."""
+    values = _class_values(classes)
+    literals = F.array(*[F.lit(c) for c in values])
     cells = counts.sparkSession.range(1).select(F.explode(literals).alias("y_true"))
     cells = cells.select("y_true", F.explode(literals).alias("y_pred"))
-    return cells.join(counts, ["y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long"))
+    listed = F.col("y_true").isin(values) & F.col("y_pred").isin(values)
+    others = counts.where(~F.coalesce(listed, F.lit(False))).select("y_true", "y_pred", "n")
+    return cells.join(counts, ["y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long")).unionByName(others)
 
 
 def confusion_pivot(counts: DataFrame, classes, prefix: str = "pred_") -> DataFrame:
-    """One row per true class, one column per listed class."""
-    columns = [
-        F.coalesce(F.sum(F.when(F.col("y_pred") == F.lit(c), F.col("n"))), F.lit(0)).cast("long").alias(f"{prefix}{c}")
-        for c in _class_values(classes)
-    ]
-    return counts.groupBy("y_true").agg(*columns)
+    """One row per true class, one column per listed class, and one for all other predictions, missing ones included."""
+    values = _class_values(classes)
+    total = lambda rows: F.coalesce(F.sum(F.when(rows, F.col("n"))), F.lit(0)).cast("long")
+    columns = [total(F.col("y_pred") == F.lit(c)).alias(f"{prefix}{c}") for c in values]
+    rest = total(~F.coalesce(F.col("y_pred").isin(values), F.lit(False))).alias(f"{prefix}other")
+    return counts.groupBy("y_true").agg(*columns, rest)
 
 
 def confusion_normalized(counts: DataFrame) -> DataFrame:
@@ -79,7 +82,7 @@ def confusion_highlight(grid: DataFrame) -> DataFrame:
 def class_report(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Per true class: correct, total, recall."""
     hits = df.groupBy(F.col(y_true).alias("y_true")).agg(
-        F.sum((F.col(y_true) == F.col(y_pred)).cast("long")).alias("correct"), F.count(F.lit(1)).alias("total"))
+        F.sum(F.coalesce(F.col(y_true) == F.col(y_pred), F.lit(False)).cast("long")).alias("correct"), F.count(F.lit(1)).alias("total"))
     return hits.withColumn("recall", F.col("correct") / F.col("total"))
 
 

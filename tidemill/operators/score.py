@@ -15,17 +15,25 @@ from tidemill.sources.synthetic import grid
 
 
 def _vectors(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], features: str, out: str) -> DataFrame:
-    """Append fn(features) as ARRAY<DOUBLE>, a whole Arrow batch at a time."""
+    """Append fn(features) as ARRAY<DOUBLE>, a whole Arrow batch at a time.
+
+    A NULL vector gives NULL; vectors of unequal length or with missing values
+    are an error, never cut anew.
+    """
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.DoubleType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = batch.column(features).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            result = np.ascontiguousarray(fn(x.astype(np.float64)), dtype=np.float64)
-            offsets = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * result.shape[1])
-            vectors = pa.ListArray.from_arrays(offsets, pa.array(result.ravel()))
+            column = batch.column(features)
+            present = column.is_valid().to_numpy(zero_copy_only=False)
+            if present.any():
+                result = np.ascontiguousarray(fn(dense.matrix(column.drop_null())), dtype=np.float64)
+            else:
+                result = np.zeros((0, 0))
+            offsets = pa.array(np.r_[0, np.cumsum(present)].astype(np.int32) * result.shape[1])
+            vectors = pa.ListArray.from_arrays(offsets, pa.array(result.ravel()), mask=pa.array(~present))
             yield pa.RecordBatch.from_arrays([*batch.columns, vectors], names=schema.names)
 
     return df.mapInArrow(run, schema)

@@ -75,8 +75,19 @@ def assign_batches(df: DataFrame, key, size: int, seed=42, epoch: int = 0, drop_
 
 
 def take_first(df: DataFrame, order: str, n: int) -> DataFrame:
-    """The first n rows by a unique column: a top-k for small n, else a cut value and a filter."""
+    """The first n rows by a column, NULLs first; of equal values at the end any that make up n.
+
+    A top-k for small n.  Beyond, rows below the cut value are taken by a
+    filter and those at it up to n, so the values are the same either way.
+    """
     if n <= TOP_K_ROWS:
         return df.orderBy(order).limit(n)
-    cut = first_cut(df, order, n).scalar()
-    return df.where(cut.isNull() | (F.col(order) <= cut))
+    c = F.col(order)
+    missing = df.where(c.isNull()).count()
+    if missing >= n:
+        return df.where(c.isNull()).limit(n)
+    cut = first_cut(df.where(c.isNotNull()), order, n - missing).first()
+    if cut is None:
+        return df
+    below = df.where(c.isNull() | (c < F.lit(cut["cut"])))
+    return below.unionByName(df.where(c == F.lit(cut["cut"])).limit(n - below.count()))

@@ -35,6 +35,8 @@ class FitState:
     step: int = 0
     widths: list[int] = field(default_factory=list)
     output: str = "linear"
+    epoch: int = 0
+    lr: float | None = None
 
     @property
     def layers(self) -> dense.Layers:
@@ -42,14 +44,14 @@ class FitState:
 
 
 def save_state(spark: SparkSession, state: FitState, path: str) -> None:
-    row = (state.weights.tolist(), state.slots.tolist(), state.step, list(state.widths), state.output)
-    schema = "weights array<double>, slots array<array<double>>, step long, widths array<int>, output string"
+    row = (state.weights.tolist(), state.slots.tolist(), state.step, list(state.widths), state.output, state.epoch, state.lr)
+    schema = "weights array<double>, slots array<array<double>>, step long, widths array<int>, output string, epoch long, lr double"
     spark.createDataFrame([row], schema).write.mode("overwrite").parquet(path)
 
 
 def load_state(spark: SparkSession, path: str) -> FitState:
     row = spark.read.parquet(path).first()
-    return FitState(np.array(row.weights), np.array(row.slots), row.step, list(row.widths), row.output)
+    return FitState(np.array(row.weights), np.array(row.slots), row.step, list(row.widths), row.output, row.epoch, row.lr)
 
 
 def _history(spark: SparkSession, rows: list[tuple]) -> DataFrame:
@@ -77,8 +79,10 @@ def _moments(df: DataFrame, features: list[str], target: str, split: str | None,
     names = list(columns)
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     side = (F.col(split) == validation) if split else F.lit(False)
+    # Rows with a missing value take no part, or sums and counts would not fit.
+    complete = df.select(side.alias("_val"), *[c.alias(n) for n, c in columns.items()]).dropna()
     sums = (
-        df.select(side.alias("_val"), *[c.alias(n) for n, c in columns.items()]).groupBy("_val")
+        complete.groupBy("_val")
         .agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}_{j}") for i, j in pairs])
     )
     result = {}
@@ -100,31 +104,65 @@ def fit_linear_gd(
 
     The loss and its gradient depend on the data only through X'X, X'y and
     y'y, so one aggregation serves every epoch.  ``schedule(epoch, lr)`` sets
-    the rate; ``steps`` per epoch defaults to ceil(n / 32), at most 64.
+    the rate; ``steps`` per epoch defaults to ceil(n / 32).  Many momentum
+    steps at one rate are one linear map, applied by repeated squaring.
     """
     features = as_list(features)
     rule = make_optimizer(optimizer or Optimizer("sgd", 0.001, 0.9))
     sides = _moments(df, features, target, split, validation)
     n, xx, xy, yy = sides[False]
-    steps = steps or min(64, math.ceil(n / 32))
+    steps = steps or math.ceil(n / 32)
     d = len(features) + 1
     state = initial or FitState(np.zeros(d), rule.slots(d), 0, [d - 1, 1], "linear")
-    w, slots, step, lr = state.weights, state.slots, state.step, rule.lr
+    w, slots, step, lr = state.weights, state.slots, state.step, rule.lr if state.lr is None else state.lr
 
     def mse(side, w):
         m, a, b, c = sides[side]
         return float((w @ a @ w - 2 * w @ b + c) / m)
 
     rows = []
-    for epoch in range(epochs):
+    for epoch in range(state.epoch, state.epoch + epochs):
         lr = schedule(epoch, lr) if schedule else lr
-        losses = []
-        for _ in range(steps):
-            losses.append(mse(False, w))
-            step += 1
-            w, slots = rule.update(w, 2.0 / n * (xx @ w - xy), slots, step, lr)
-        rows.append((epoch, float(lr), sum(losses) / len(losses), mse(True, w) if True in sides else None, None, None))
-    return FitState(w, slots, step, state.widths, "linear"), _history(df.sparkSession, rows)
+        if rule.name == "sgd" and steps > STEPS_ONE_BY_ONE:
+            w, velocity, loss = _momentum_steps(sides[False], w, slots[0], steps, lr, rule.momentum)
+            slots, step = np.stack([velocity]), step + steps
+        else:
+            losses = []
+            for _ in range(steps):
+                losses.append(mse(False, w))
+                step += 1
+                w, slots = rule.update(w, 2.0 / n * (xx @ w - xy), slots, step, lr)
+            loss = sum(losses) / len(losses)
+        rows.append((epoch, float(lr), loss, mse(True, w) if True in sides else None, None, None))
+    return FitState(w, slots, step, state.widths, "linear", state.epoch + epochs, lr), _history(df.sparkSession, rows)
+
+
+#: Beyond so many steps per epoch the linear map is cheaper; both ways give the same weights.
+STEPS_ONE_BY_ONE = 64
+
+
+def _momentum_steps(side: tuple, w: np.ndarray, velocity: np.ndarray, steps: int, lr: float, momentum: float) -> tuple:
+    """Weights and velocity after ``steps`` updates, and the mean of the losses before each.
+
+    An update maps (w, v, 1) linearly and a loss is a quadratic form of it, so
+    powers of the map and sums of forms are doubled along the bits of ``steps``.
+    """
+    n, xx, xy, yy = side
+    d = len(w)
+    pull, push, one = 2.0 * lr / n * xx, 2.0 * lr / n * xy[:, None], np.eye(d)
+    last = np.r_[np.zeros(2 * d), 1.0][None]
+    update = np.block([[one - pull, momentum * one, push], [-pull, momentum * one, push]])
+    update = np.concatenate([update, last])
+    form = np.zeros((2 * d + 1, 2 * d + 1))
+    form[:d, :d], form[:d, -1], form[-1, :d], form[-1, -1] = xx / n, -xy / n, -xy / n, yy / n
+    power, total = np.eye(2 * d + 1), np.zeros_like(form)
+    for bit in bin(steps)[2:]:
+        total, power = total + power.T @ total @ power, power @ power
+        if bit == "1":
+            total, power = form + update.T @ total @ update, power @ update
+    z = np.r_[w, velocity, 1.0]
+    end = power @ z
+    return end[:d], end[d:2 * d], float(z @ total @ z) / steps
 
 
 def fit_logistic(
@@ -140,7 +178,7 @@ def fit_logistic(
     rule = make_optimizer(optimizer)
     d = len(features) + 1
     state = initial or FitState(np.zeros(d), rule.slots(d), 0, [d - 1, 1], "sigmoid")
-    w, slots, step, lr = state.weights, state.slots, state.step, rule.lr
+    w, slots, step, lr = state.weights, state.slots, state.step, rule.lr if state.lr is None else state.lr
     held_out = (F.col(split) == validation).cast("double") if split else F.lit(0.0)
     columns = {"_v": held_out, "_y": F.col(label).cast("double"), **{f"_x{j}": F.col(c).cast("double") for j, c in enumerate(features)}}
     # Rows with a missing value take no part; the coalesce only tells the
@@ -173,6 +211,8 @@ def fit_logistic(
         weights = df.sparkSession.createDataFrame(pa.table({"w": [w.tolist()]}), "w array<double>")
         scored = data.withColumn("_w", weights.scalar()).withColumn("_p", probability).withColumns(per_row)
         r = scored.agg(*totals).first()
+        if not r["n"]:
+            raise ValueError("the training side has no complete row")
         train = (r["loss"] / r["n"], r["hit"] / r["n"])
         val = (r["val_loss"] / r["val_n"], r["val_hit"] / r["val_n"]) if split and r["val_n"] else (None, None)
         return train, val, np.array([r[f"g{j}"] for j in range(d)]) / r["n"]
@@ -180,16 +220,16 @@ def fit_logistic(
     rows = []
     with kept(pruned, source=df) as data:
         now = evaluate(data, w)
-        for epoch in range(epochs):
+        for epoch in range(state.epoch, last := state.epoch + epochs):
             lr = schedule(epoch, lr) if schedule else lr
             (loss, accuracy), _, gradient = now
             step += 1
             w, slots = rule.update(w, gradient, slots, step, lr)
-            if epoch + 1 < epochs or split:
+            if epoch + 1 < last or split:
                 now = evaluate(data, w)
             val_loss, val_accuracy = now[1] if split else (None, None)
             rows.append((epoch, float(lr), loss, val_loss, accuracy, val_accuracy))
-    return FitState(w, slots, step, state.widths, "sigmoid"), _history(df.sparkSession, rows)
+    return FitState(w, slots, step, state.widths, "sigmoid", state.epoch + epochs, lr), _history(df.sparkSession, rows)
 
 
 def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max_iter: int = 30, reg: float = 0.0) -> FitState:
@@ -205,8 +245,6 @@ def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max
     return FitState(dense.pack([(w, b)]), np.zeros((0, w.size + classes)), 0, [w.shape[0], classes], "softmax")
 
 
-ROWS_PER_BUCKET = 50_000
-MIN_BUCKETS, MAX_BUCKETS = 8, 4096
 DRIVER_DOUBLES = 4_000_000
 LOSS_OUTPUT = {"mse": "linear", "binary_ce": "sigmoid", "sparse_ce": "softmax"}
 BUCKET_RESULT = "bucket long, n double, steps double, loss double, correct double, val_n double, val_loss double, val_correct double, params array<double>"
@@ -216,9 +254,9 @@ def _average(result: DataFrame, length: int) -> np.ndarray:
     """Row-count weighted mean of the buckets' vectors, summed in bucket order.
 
     Small results are averaged on the driver; large ones position by position
-    on the cluster, where a position has at most MAX_BUCKETS values.
+    on the cluster, where a position has one value per bucket.
     """
-    counts = result.select("bucket", "n").orderBy("bucket").collect()  # at most MAX_BUCKETS rows
+    counts = result.select("bucket", "n").orderBy("bucket").collect()  # one row per bucket
     total = sum(r.n for r in counts)
     if len(counts) * length <= DRIVER_DOUBLES:
         table = result.select("bucket", "n", "params").toArrow()
@@ -239,34 +277,38 @@ def _average(result: DataFrame, length: int) -> np.ndarray:
 
 def fit_dense(
     df: DataFrame, key, features: str, target: str, hidden: list[int], loss: str, epochs: int, outputs: int = 1,
-    optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, buckets: int | None = None,
+    optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, buckets: int = 8,
     split: str | None = None, validation: str = "validation", initial: FitState | None = None,
-    schedule: Callable[[int, float], float] | None = None,
+    schedule: Callable[[int, float], float] | None = None, drop_remainder: bool = False,
 ) -> tuple[FitState, DataFrame]:
     """Fully connected network by parallel SGD with averaging (Zinkevich et al. 2010).
 
     Rows are hashed into buckets once; every epoch each bucket runs its own
     mini-batches from the common weights and the results are averaged by row
     count.  Buckets stream through a worker batch by batch, so their size is
-    not bound by its memory.  ``key`` must identify a row.
+    not bound by its memory.  ``buckets`` is part of the model, as is the batch
+    size: it is how many workers train side by side, without an upper bound.
+    Each epoch goes through a bucket in a new order drawn from (seed, epoch,
+    key).  With ``drop_remainder`` a bucket's last, partial batch is left out
+    of that epoch.  Rows without vector or target take no part.  ``key`` must
+    identify a row.
     """
     spark = df.sparkSession
     output = LOSS_OUTPUT[loss]
     rule = make_optimizer(optimizer)
     keys = as_list(key)
-    if buckets is None:
-        buckets = min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(df.count() / ROWS_PER_BUCKET)))
     side = (F.col(split) == validation) if split else F.lit(False)
     data = (
         df.select(
-            (u32(seed, *keys) % buckets).cast("int").alias("_bucket"), digest(f"{seed}:order", *keys).alias("_h"), *keys,
-            side.alias("_val"), F.col(features).cast("array<double>").alias("_x"), F.col(target).cast("double").alias("_y"),
+            (u32(seed, *keys) % buckets).cast("int").alias("_bucket"), *keys, side.alias("_val"), F.col(features).cast("array<double>").alias("_x"), F.col(target).cast("double").alias("_y"),
         )
-        .repartitionById(buckets, "_bucket").sortWithinPartitions("_h", *keys)
-        .select("_bucket", "_val", "_x", "_y")
+        .where("_x IS NOT NULL AND _y IS NOT NULL").repartitionById(buckets, "_bucket")
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
-    width = data.select(F.size("_x")).first()[0]
+    one = data.select(F.size("_x")).first()
+    if one is None:
+        raise ValueError("no row has both a vector and a target")
+    width = one[0]
     widths = initial.widths if initial else [width, *hidden, outputs]
     size = dense.sizes(widths)
     state = initial or FitState(dense.glorot(widths, seed), rule.slots(size), 0, widths, output)
@@ -291,7 +333,7 @@ def fit_dense(
             for b in batches:
                 if not b.num_rows:
                     continue
-                x = b.column("_x").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+                x = dense.matrix(b.column("_x"))
                 y, val = b.column("_y").to_numpy(), b.column("_val").to_numpy(zero_copy_only=False)
                 if bucket is None:
                     bucket = b.column("_bucket")[0].as_py()
@@ -311,20 +353,22 @@ def fit_dense(
                     rest_x, rest_y = xs[whole:], ys[whole:]
             if bucket is None:
                 return
-            if train and len(rest_y):
+            if train and len(rest_y) and not drop_remainder:
                 train_on(rest_x, rest_y)
             params = np.concatenate([w, slots.ravel()]) if train else np.zeros(0)
             columns = [pa.array([bucket], pa.int64()), *[pa.array([float(v)]) for v in done.values()], pa.array([params], pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", *done, "params"])
 
-        return data.mapInArrow(work, BUCKET_RESULT)
+        ordered = data.sortWithinPartitions(digest(f"{seed}:{epoch}", *keys), *keys).select("_bucket", "_val", "_x", "_y")
+        return ordered.mapInArrow(work, BUCKET_RESULT)
 
     metrics = ["n", "steps", "loss", "correct", "val_n", "val_loss", "val_correct"]
-    rows, val_rows, lr = [], [], rule.lr
+    rows, val_rows, lr = [], [], rule.lr if state.lr is None else state.lr
+    first = state.epoch
     classify = output != "linear"
     try:
-        for epoch in range(epochs + 1):
-            train = epoch < epochs
+        for epoch in range(first, first + epochs + 1):
+            train = epoch < first + epochs
             if not train and not split:
                 break
             lr = schedule(epoch, lr) if schedule and train else lr
@@ -337,8 +381,8 @@ def fit_dense(
                 if train:
                     mean = _average(result, size + state.slots.size)
                     taken = max(1, round(steps / max(1, table.num_rows)))
-                    state = FitState(mean[:size], mean[size:].reshape(state.slots.shape), state.step + taken, widths, output)
-                    rows.append((epoch, float(lr), loss_sum / n, correct / n if classify else None))
+                    state = FitState(mean[:size], mean[size:].reshape(state.slots.shape), state.step + taken, widths, output, epoch + 1, lr)
+                    rows.append((epoch, float(lr), loss_sum / n if n else None, correct / n if classify and n else None))
             finally:
                 result.unpersist()
     finally:

@@ -36,6 +36,18 @@ def link_status(spark, sf_dir):
     return curate.link_once(documents, table(spark, sf_dir, "labels"), "doc_id").select("doc_id", "source", "status")
 
 
+@query("link_repeats", """
+    WITH d AS (SELECT CASE WHEN doc_id % 9 = 0 THEN NULL ELSE doc_id % 50 END AS k FROM documents), m AS (SELECT DISTINCT doc_id % 40 AS k FROM labels WHERE doc_id % 3 = 0)
+    SELECT k, count(*) FILTER (WHERE r = 1 AND NOT known)::BIGINT AS linked, count(*)::BIGINT AS n
+    FROM (SELECT d.k, row_number() OVER (PARTITION BY d.k) AS r, m.k IS NOT NULL AS known FROM d LEFT JOIN m ON d.k IS NOT DISTINCT FROM m.k) GROUP BY k""")
+def link_repeats(spark, sf_dir):
+    """Repeated and missing keys are linked once."""
+    entries = table(spark, sf_dir, "documents").select(F.when(F.col("doc_id") % 9 != 0, F.col("doc_id") % 50).alias("k"))
+    manifest = table(spark, sf_dir, "labels").where("doc_id % 3 = 0").select((F.col("doc_id") % 40).alias("k"))
+    marked = curate.link_once(entries, manifest, "k")
+    return marked.groupBy("k").agg(F.count_if(F.col("status") == "linked").alias("linked"), F.count(F.lit(1)).alias("n"))
+
+
 @query("split_listing", f"""
     SELECT split, string_agg(label, ',' ORDER BY label) AS classes
     FROM (SELECT DISTINCT {sql_split('doc_id', 0.2)} AS split, source AS label FROM documents) GROUP BY split""")
@@ -57,7 +69,7 @@ def class_index(spark, sf_dir):
 
 
 @query("sample_counts", f"""
-    SELECT split, label, count(*)::BIGINT AS n FROM (SELECT {sql_split('doc_id', 0.2)} AS split, source AS label FROM documents)
+    SELECT split, label, count(*)::BIGINT AS n, GROUPING(split, label)::INTEGER AS level FROM (SELECT {sql_split('doc_id', 0.2)} AS split, source AS label FROM documents)
     GROUP BY ROLLUP (split, label)""")
 def sample_counts(spark, sf_dir):
     return curate.sample_counts(_listing(spark, sf_dir))

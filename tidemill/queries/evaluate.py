@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
 from tidemill.functions import losses
-from tidemill.functions.arrays import let
 from tidemill.operators import evaluate as e
 from tidemill.operators.curate import one_hot
 from tidemill.operators.split import hash_split
@@ -61,25 +60,27 @@ def evaluate_splits(spark, sf_dir):
     return scores.select("split", rounded(F.col("loss")).alias("loss"), rounded(F.col("accuracy")).alias("accuracy"), "n")
 
 
-def softmax_of_first(spark, sf_dir):
-    """Probabilities of 10 classes: softmax of the first 10 vector values."""
-    powers = F.transform(F.slice("embedding", 1, 10), lambda x: F.exp(x.cast("double")))
-    shares = let(powers, lambda e: let(F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x), lambda total: F.transform(e, lambda x: x / total)))
-    return table(spark, sf_dir, "embeddings").select(F.col("label").cast("int").alias("label"), shares.alias("probs"))
+def softmax_of_all(spark, sf_dir):
+    """Probabilities of 10 classes from all vector values, by the fixed layer."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("int").alias("label"), "embedding")
+    return score_dense(vectors, fixed_head(), "embedding").select("label", "probs")
 
 
 SPARSE_SQL = f"""
-    SELECT {sql_round('avg(-ln(exp(embedding[label + 1]::DOUBLE) / list_sum(list_transform(embedding[1:10], lambda x: exp(x::DOUBLE)))))')} AS loss FROM embeddings"""
+    WITH v AS (SELECT vec_id, label, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::DOUBLE AS v FROM embeddings),
+    z AS (SELECT vec_id, label, j, exp(sum(v * (((7 * i + 13 * j) % 11 - 5) / 10.0::DOUBLE)) + (j - 4.5::DOUBLE) / 10) AS s FROM v, range(10) r(j) GROUP BY vec_id, label, j),
+    p AS (SELECT label, j, s / sum(s) OVER (PARTITION BY vec_id) AS p FROM z)
+    SELECT {sql_round('avg(-ln(least(greatest(p, 1e-7::DOUBLE), 1 - 1e-7::DOUBLE)))')} AS loss FROM p WHERE j = label"""
 
 
 @query("categorical_ce", SPARSE_SQL)
 def categorical_ce(spark, sf_dir):
-    return _one_value(e.categorical_cross_entropy(one_hot(softmax_of_first(spark, sf_dir), "label", 10), "one_hot", "probs"), "loss")
+    return _one_value(e.categorical_cross_entropy(one_hot(softmax_of_all(spark, sf_dir), "label", 10), "one_hot", "probs"), "loss")
 
 
 @query("sparse_ce", SPARSE_SQL)
 def sparse_ce(spark, sf_dir):
-    return _one_value(e.sparse_cross_entropy(softmax_of_first(spark, sf_dir), "label", "probs"), "loss")
+    return _one_value(e.sparse_cross_entropy(softmax_of_all(spark, sf_dir), "label", "probs"), "loss")
 
 
 @query("accuracy", f"SELECT {sql_round(f'avg((l_returnflag = {PRED_SQL})::INT)')} AS accuracy FROM lineitem")
@@ -102,7 +103,7 @@ def confusion_grid(spark, sf_dir):
 
 
 @query("confusion_pivot", f"""
-    WITH c AS ({COUNTS_SQL}) SELECT y_true, {', '.join(f"coalesce(sum(n) FILTER (y_pred = '{c}'), 0)::BIGINT AS pred_{c}" for c in FLAGS)} FROM c GROUP BY y_true""")
+    WITH c AS ({COUNTS_SQL}) SELECT y_true, {', '.join(f"coalesce(sum(n) FILTER (y_pred = '{c}'), 0)::BIGINT AS pred_{c}" for c in FLAGS)}, 0::BIGINT AS pred_other FROM c GROUP BY y_true""")
 def confusion_pivot(spark, sf_dir):
     return e.confusion_pivot(e.confusion_counts(predictions(spark, sf_dir)), FLAGS)
 
@@ -156,3 +157,38 @@ def stream_predictions(spark, sf_dir):
     FROM documents d FULL OUTER JOIN labels l ON d.doc_id = l.doc_id""")
 def alignment(spark, sf_dir):
     return e.alignment(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+GAPS_SQL = "SELECT l_returnflag AS y_true, CASE WHEN l_partkey % 7 = 0 THEN NULL WHEN l_partkey % 11 = 0 THEN 'Z' ELSE l_linestatus END AS y_pred FROM lineitem"
+
+
+def with_gaps(spark, sf_dir):
+    """Predictions some of which are missing or of a class that is not listed."""
+    gap = F.when(F.col("l_partkey") % 7 == 0, F.lit(None)).when(F.col("l_partkey") % 11 == 0, "Z").otherwise(F.col("l_linestatus"))
+    return table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("y_true"), gap.alias("y_pred"))
+
+
+@query("accuracy_with_gaps", f"SELECT {sql_round('avg(coalesce(y_true = y_pred, false)::INT)')} AS accuracy FROM ({GAPS_SQL})")
+def accuracy_with_gaps(spark, sf_dir):
+    return _one_value(e.accuracy(with_gaps(spark, sf_dir)), "accuracy")
+
+
+@query("grid_unlisted", f"""
+    WITH c AS (SELECT y_true, y_pred, count(*)::BIGINT AS n FROM ({GAPS_SQL}) GROUP BY 1, 2), k AS (SELECT unnest(['A', 'N', 'O']) AS y)
+    SELECT a.y AS y_true, b.y AS y_pred, coalesce(n, 0)::BIGINT AS n FROM k a CROSS JOIN k b LEFT JOIN c ON c.y_true = a.y AND c.y_pred = b.y
+    UNION ALL SELECT * FROM c WHERE NOT coalesce(y_true IN ('A', 'N', 'O') AND y_pred IN ('A', 'N', 'O'), false)""")
+def grid_unlisted(spark, sf_dir):
+    return e.confusion_grid(e.confusion_counts(with_gaps(spark, sf_dir)), ["A", "N", "O"])
+
+
+@query("binary_ce_with_gaps", f"""
+    SELECT isnan(loss) AS diverged, coalesce({sql_round('CASE WHEN isnan(loss) THEN NULL ELSE loss END')}, -1) AS loss FROM (
+        SELECT avg({BCE_SQL}) AS loss FROM ({BINARY_SQL}) WHERE split = 'train'
+        UNION ALL SELECT 'nan'::DOUBLE)""")
+def binary_ce_with_gaps(spark, sf_dir):
+    """A NULL probability is left out, a NaN shows in the loss."""
+    data = binary(spark, sf_dir)
+    nulls = data.withColumn("p", F.when(F.col("split") == "train", F.col("p").cast("double")))
+    nans = data.withColumn("p", F.when(F.col("split") == "train", F.col("p").cast("double")).otherwise(F.lit(float("nan"))))
+    loss = e.binary_cross_entropy(nulls, "y", "p").unionByName(e.binary_cross_entropy(nans, "y", "p"))
+    return loss.select(F.isnan("loss").alias("diverged"), F.when(F.isnan("loss"), -1.0).otherwise(rounded(F.col("loss"))).alias("loss"))

@@ -51,4 +51,4 @@ def table_confusion(spark, sf_dir):
 def array_lifecycle(spark, sf_dir):
     """Network with one hidden layer and dropout on the vectors; scores per side."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
-    return lifecycle.classify_arrays(vectors, "vec_id", "embedding", "label", 10, [32], 4, divisor=0.25, optimizer=Optimizer("adam", 0.01)).scores
+    return lifecycle.classify_arrays(vectors, "vec_id", "embedding", "label", 10, [128], 4, divisor=0.25, optimizer=Optimizer("adam", 0.01)).scores

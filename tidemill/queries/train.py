@@ -163,7 +163,7 @@ def logit_resume(spark, sf_dir):
         state, first = t.fit_logistic(data, ZSCORES, "y", 1, rule, split="split")
         t.save_state(spark, state, path)
         _, rest = t.resume(t.fit_logistic, t.load_state(spark, path), data, ZSCORES, "y", 2, rule, split="split")
-    return round_metrics(first.unionByName(rest.withColumn("epoch", F.col("epoch") + 1)))
+    return round_metrics(first.unionByName(rest))
 
 
 @query("curves", f"""
@@ -197,13 +197,13 @@ def dense_regression(spark, sf_dir):
     """A hidden layer fitted to a surface sampled at one point per order."""
     points = sample_points(table(spark, sf_dir, "orders"), "o_orderkey", -3.0, 3.0, seed=7)
     points = hash_split(points.withColumn("x", F.array("x1", "x2")), "o_orderkey", 0.2)
-    _, history = t.fit_dense(points, "o_orderkey", "x", "y", [32], "mse", 4, optimizer=Optimizer("adam", 0.01), split="split")
+    _, history = t.fit_dense(points, "o_orderkey", "x", "y", [128], "mse", 10, optimizer=Optimizer("adam", 0.01), split="split")
     return history
 
 
 @query("dense_classify")
 def dense_classify(spark, sf_dir):
-    """64-32-10 network with dropout on the vectors."""
-    _, history = t.fit_dense(vectors(spark, sf_dir), "vec_id", "embedding", "label", [32], "sparse_ce", 6, outputs=10,
+    """64-128-10 network with dropout on the vectors."""
+    _, history = t.fit_dense(vectors(spark, sf_dir), "vec_id", "embedding", "label", [128], "sparse_ce", 10, outputs=10,
                              optimizer=Optimizer("adam", 0.01), dropout=0.2, split="split")
     return history
