@@ -12,10 +12,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shingles import raw
+from tidemill.llm.shingles import slices
 
 #: Entries a worker remembers of each kind; beyond that it starts anew. Only speed depends on it.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -234,7 +234,7 @@ def encode_table(docs: DataFrame, key: str = "doc_id", text: str = "text", path:
     def run(batches):
         enc = encoder(path)
         for batch in batches:
-            for rows in _slices(batch):
+            for rows in slices(batch):
                 ids = [np.frombuffer(x, dtype="<i4") for x in enc.encode_all([t or "" for t in rows.column(1).to_pylist()])]
                 ends = np.cumsum([0, *map(len, ids)])
                 yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))], names=["doc_id", "ids"])
@@ -255,7 +255,7 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
         enc = encoder(path)
         for batch in batches:
             n, sums, back = [], [], []
-            for rows in _slices(batch):
+            for rows in slices(batch):
                 for ids in enc.encode_all([t or "" for t in rows.column(1).to_pylist()]):
                     n.append(len(ids) // 4)
                     sums.append(hashlib.sha256(ids).hexdigest())
@@ -264,12 +264,3 @@ def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
-
-def _slices(batch, size: int = 4 << 20):
-    """Runs of rows with about `size` bytes of text, or a single longer one."""
-    _, off = raw(batch.column(1))
-    row = 0
-    while row < batch.num_rows:
-        end = max(row + 1, int(np.searchsorted(off, off[row] + size, side="right")) - 1)
-        yield batch.slice(row, end - row)
-        row = end

@@ -16,11 +16,11 @@ def _sets(docs: DataFrame, key: str, text: str, words: int, keep) -> DataFrame:
     """(doc_id, n, d1, d2, tokens): set size, 128-bit name of the set, and the `keep(n)` smallest tokens."""
 
     def run(batches):
-        for batch in batches:
-            sets = list(shingles.row_sets(batch.column(1), words))
+        for rows in (part for batch in batches for part in shingles.slices(batch)):
+            sets = list(shingles.row_sets(rows.column(1), words))
             names = [shingles.set_name(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), shingles.lists([s[: keep(len(s))] for s in sets])],
+                [rows.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), shingles.lists([s[: keep(len(s))] for s in sets])],
                 names=["doc_id", "n", "d1", "d2", "tokens"],
             )
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.bpe import _slices
+from tidemill.llm.shingles import slices
 
 #: Bound of the training sample: documents per language (lowest hashes), segments of one document, words of a segment.
 DOCS, SEGMENTS, WORDS = 400, 4, 20
@@ -20,7 +20,7 @@ BUCKETS, LETTERS = 1 << 17, 30
 EPOCHS, STEP, PENALTY = 30, 0.3, 1e-5
 #: Words of one chain when labelling; a longer text is a sequence of chains.
 CHAIN = 128
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -229,9 +229,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 def _labelled(batches, place: int, labeller: Labeller, added: list[str]):
     for batch in batches:
         lang, score, n = [], [], []
-        column = batch.column(place)
-        for rows in _slices(pa.RecordBatch.from_arrays([column, column], names=["a", "b"])):
-            split, post = labeller.words([t or "" for t in rows.column(1).to_pylist()])
+        for rows in slices(batch, place):
+            split, post = labeller.words([t or "" for t in rows.column(place).to_pylist()])
             at = 0
             for words in split:
                 share = post[at : at + len(words)].sum(axis=0) / max(1, len(words))
@@ -252,7 +251,7 @@ def runs(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
         labeller = Labeller(model)
         for batch in batches:
             out = []
-            for rows in _slices(batch):
+            for rows in slices(batch):
                 split, post = labeller.words([t or "" for t in rows.column(1).to_pylist()])
                 best, at = post.argmax(axis=1) if len(model.labels) else np.zeros(0, int), 0
                 for i, words in enumerate(split):

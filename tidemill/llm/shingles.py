@@ -6,6 +6,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text hashed at a time; a longer text is hashed alone.
 CHUNK = 1 << 21
@@ -48,6 +49,16 @@ def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[off[0] : off[-1]], off - off[0]
 
 
+def slices(batch: pa.RecordBatch, column: int = 1, size: int = CHUNK):
+    """Runs of rows with about `size` bytes of text, or a single longer one: what a worker has in hand at a time."""
+    off = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)]
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(off, off[row] + size, side="right")) - 1)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def words(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words `[^\\x20\\x09-\\x0D]+`, and where each row's words begin."""
     inside = ~_SPACE[data]

@@ -8,7 +8,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemill.llm.bpe import _slices, encoder
+from tidemill.llm.bpe import encoder
+from tidemill.llm.shingles import slices
 
 END = 50256  # the free id after the vocabulary's last
 WIDTH = 2  # bytes of an id, little-endian unsigned
@@ -36,7 +37,7 @@ def flat_files(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
         none = None
         for batch in batches:
-            for rows in _slices(batch):
+            for rows in slices(batch):
                 for ids in enc.encode_all([t or "" for t in rows.column(1).to_pylist()]):
                     rest += np.frombuffer(ids, "<u4").astype(f"<u{WIDTH}").tobytes() + end
                 parts += 1
