@@ -227,3 +227,29 @@ def test_ragged_vectors_raise_and_missing_ones_stay_missing(spark):
     ragged = spark.createDataFrame([([1.0, 2.0, 3.0],), ([1.0, 2.0, 3.0, 4.0, 5.0],)], "v array<double>").coalesce(1)
     with pytest.raises(Exception, match="one length"):
         extract_features(ragged, "v", 4, 2, fn=lambda x: x).collect()
+
+
+def test_resize_takes_sizes_by_row_and_keeps_missing_images(spark):
+    df = spark.createDataFrame([(1, 2, 2, [1.0, 2.0, 3.0, 4.0]), (2, 1, 3, [5.0, 6.0, 7.0]), (3, 2, 2, None), (4, None, 2, [1.0, 2.0])], "k int, h int, w int, pixels array<double>")
+    got = {r.k: r.pixels for r in transform.resize_images(df, F.col("h"), F.col("w"), 1, 2, 3).collect()}
+    assert got == {1: [1.0, 1.0, 2.0, 3.0, 3.0, 4.0], 2: [5.0, 6.0, 7.0] * 2, 3: None, 4: None}
+    with pytest.raises(Exception, match="is not"):
+        transform.resize_images(df.where("k = 1"), 3, 3, 1, 2, 2).collect()
+
+
+def test_grid_of_a_table_of_classes(spark):
+    rows = spark.createDataFrame([("a", "b"), ("a", "b"), ("c", None), (None, "a"), ("z", "a")], "y_true string, y_pred string")
+    counts = evaluate.confusion_counts(rows)
+    table = spark.createDataFrame([("b",), ("a",), ("c",), ("a",), (None,)], "name string")
+    by_table, by_list = (sorted(map(str, evaluate.confusion_grid(counts, c).collect())) for c in (table, ["a", "b", "c"]))
+    assert by_table == by_list and len(by_table) == 12
+
+
+def test_warps_keep_missing_images_and_refuse_ragged_ones(spark):
+    df = spark.createDataFrame([(1, [1.0] * 4), (2, None), (3, [2.0] * 4)], "k int, pixels array<float>")
+    plan = augment.augment_plan(df, "k", 2)
+    got = augment.affine(plan, 2, 2, 1).select("k", "pixels").collect()
+    assert sorted((r.k, r.pixels and r.pixels[0]) for r in got) == [(1, 1.0)] * 2 + [(2, None)] * 2 + [(3, 2.0)] * 2
+    ragged = spark.createDataFrame([(1, [1.0] * 3), (2, [1.0] * 5)], "k int, pixels array<float>")
+    with pytest.raises(Exception, match="is not"):
+        augment.affine(augment.augment_plan(ragged, "k", 1), 2, 2, 1).collect()

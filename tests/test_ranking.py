@@ -78,6 +78,7 @@ def test_ordered_ranks_follow_the_value(spark):
 
 def test_take_first_large_equals_top_k(spark, monkeypatch):
     frame = skewed(spark)
+    monkeypatch.setattr(split, "TOP_K_ROWS", 10_000)
     expected = {r.path for r in split.take_first(frame, "path", 5000).collect()}
     monkeypatch.setattr(split, "TOP_K_ROWS", 10)
     assert {r.path for r in split.take_first(frame, "path", 5000).collect()} == expected
@@ -127,8 +128,26 @@ def test_no_data_sized_single_partition_exchange(spark, sf_dir):
 
 def test_take_first_gives_the_same_values_either_way(spark, monkeypatch):
     frame = spark.range(6000).selectExpr("CASE WHEN id % 100 = 0 THEN NULL ELSE id % 1500 END AS v")
+    monkeypatch.setattr(split, "TOP_K_ROWS", 10_000)
     want = [r.v for r in split.take_first(frame, "v", 5000).collect()]
     monkeypatch.setattr(split, "TOP_K_ROWS", 10)
     for n in (30, 5000, 7000):
         got = sorted((r.v for r in split.take_first(frame, "v", n).collect()), key=lambda v: (v is not None, v or 0))
         assert len(got) == min(n, 6000) and (n != 5000 or got == want)
+
+
+def test_bounds_prefilter_keeps_every_rank(spark):
+    """More rows than the digest threshold lets through, and more bounds than the least number."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    frame = spark.range(40_000).select((F.col("id") * 7919 % 40_000).alias("v"))
+    try:
+        for partitions in ("4", "1500"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            assert ranking.bound_count(frame) == (4095 if partitions == "4" else 8191)
+            ranked = ranking.ordered_row_number(frame, "v")
+            assert ranked.where("rank <> v + 1").count() == 0
+            bounds = ranking._bounds(frame, "v", ["v"]).select(F.size("_a")).first()[0]
+            assert bounds == ranking.bound_count(frame)
+            assert split.exact_split(frame, "v", 0.33).where("split = 'test'").count() == 13_200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -222,3 +222,13 @@ def test_dense_resume_with_dropout_equals_one_go(spark):
     assert np.allclose(rest.weights, whole.weights)
     with pytest.raises(ValueError):
         train.fit_dense(df.limit(0), "id", "x", "label", epochs=1, **fit)
+
+
+def test_products_of_many_columns_equal_the_native_sums(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id % 7 * 1.0 AS a", "id % 11 / 3.0 AS b", "IF(id % 10 = 0, NULL, id % 5 + 1.0) AS y", "IF(id % 4 = 0, 'validation', 'train') AS split")
+    native = train._moments(df, ["a", "b"], "y", "split", "validation")
+    monkeypatch.setattr(train, "NATIVE_PRODUCTS", 1)
+    wide = train._moments(df, ["a", "b"], "y", "split", "validation")
+    assert native.keys() == wide.keys()
+    for side in native:
+        assert all(np.allclose(x, y) for x, y in zip(native[side], wide[side]))

@@ -32,14 +32,3 @@ def moved(values: Column, by: Column, size: int) -> Column:
     back = F.least(F.greatest(-by, F.lit(0)), F.lit(size))
     kept = F.slice(values, back + 1, F.greatest(size - ahead - back, F.lit(0)))
     return F.concat(F.array_repeat(F.element_at(values, 1), ahead), kept, F.array_repeat(F.element_at(values, -1), back))
-
-
-def nearest_resize(flat: Column, height, width, channels: int, new_h: int, new_w: int) -> Column:
-    """Nearest-neighbour resize of a flat height x width x channels array."""
-    def source(i: Column) -> Column:
-        row = F.floor(F.floor(i / F.lit(new_w * channels)) * height / F.lit(new_h))
-        col = F.floor(F.floor(i / F.lit(channels)) % new_w * width / F.lit(new_w))
-        return ((row * width + col) * channels + i % channels + 1).cast("int")
-
-    positions = F.transform(F.sequence(F.lit(0), F.lit(new_h * new_w * channels - 1)), source)
-    return let(flat, lambda a: F.transform(positions, lambda p: F.element_at(a, p)))

@@ -63,6 +63,7 @@ def affine(df: DataFrame, height: int, width: int, channels: int, col: str = "pi
 
     Each output pixel takes the nearest input pixel under rotation, shift,
     shear and zoom about the image centre; outside, the edge is repeated.
+    A NULL image stays NULL; one of another size is an error.
     """
     name = out or col
     schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, T.ArrayType(T.FloatType()))])
@@ -81,13 +82,20 @@ def affine(df: DataFrame, height: int, width: int, channels: int, col: str = "pi
             src_x = np.sin(turn) * y + np.cos(turn) * x + (width - 1) / 2.0
             iy = np.clip(np.floor(src_y + 0.5), 0, height - 1).astype(np.int64)
             ix = np.clip(np.floor(src_x + 0.5), 0, width - 1).astype(np.int64)
-            n = batch.num_rows
+            size = height * width * channels
+            lengths = batch.column(col).value_lengths()
+            present = lengths.is_valid().to_numpy(zero_copy_only=False)
+            if set(lengths.drop_null().to_pylist()) - {size}:
+                raise ValueError(f"an image is not {height} x {width} x {channels}")
+            y_of, x_of = iy[present], ix[present]
+            turned = {c: p[c][present] for c in ("flip_h", "flip_v")}
+            n = int(present.sum())
             images = batch.column(col).flatten().to_numpy(zero_copy_only=False).reshape(n, height, width, channels)
-            warped = images[np.arange(n)[:, None, None], iy, ix]
-            warped = np.where(p["flip_h"][..., None], warped[:, :, ::-1], warped)
-            warped = np.where(p["flip_v"][..., None], warped[:, ::-1], warped)
-            offsets = pa.array(np.arange(n + 1, dtype=np.int32) * (height * width * channels))
-            pixels = pa.ListArray.from_arrays(offsets, pa.array(warped.astype(np.float32).ravel()))
+            warped = images[np.arange(n)[:, None, None], y_of, x_of]
+            warped = np.where(turned["flip_h"][..., None], warped[:, :, ::-1], warped)
+            warped = np.where(turned["flip_v"][..., None], warped[:, ::-1], warped)
+            offsets = pa.array(np.r_[0, np.cumsum(present)].astype(np.int32) * size)
+            pixels = pa.ListArray.from_arrays(offsets, pa.array(warped.astype(np.float32).ravel()), mask=pa.array(~present))
             yield pa.RecordBatch.from_arrays([*[batch.column(o) for o in others], pixels], names=schema.names)
 
     return df.mapInArrow(warp, schema)
@@ -97,6 +105,7 @@ def map_images(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], col: str =
     """Apply a user's function on a batch: (n, size) floats in, (n, any size) out.
 
     Images of one batch may differ in size; each size is passed separately.
+    A NULL image stays NULL.
     """
     name = out or col
     schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, T.ArrayType(T.FloatType()))])
@@ -105,9 +114,13 @@ def map_images(df: DataFrame, fn: Callable[[np.ndarray], np.ndarray], col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(col)
-            sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+            sizes = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
             for size in np.unique(sizes):
                 picked = batch.filter(pa.array(sizes == size))
+                if size < 0:
+                    missing = pa.nulls(picked.num_rows, pa.list_(pa.float32()))
+                    yield pa.RecordBatch.from_arrays([*[picked.column(o) for o in others], missing], names=schema.names)
+                    continue
                 values = picked.column(col).flatten().to_numpy(zero_copy_only=False).reshape(picked.num_rows, int(size))
                 result = np.ascontiguousarray(fn(values), dtype=np.float32)
                 offsets = pa.array(np.arange(picked.num_rows + 1, dtype=np.int32) * result.shape[1])

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from tidemill.functions import losses
 from tidemill.functions.hashing import as_list
 from tidemill.plans.lookup import value_list
+from tidemill.plans.ranking import ordered_row_number
 
 
 def mse(df: DataFrame, y: str, y_hat: str) -> DataFrame:
@@ -43,24 +44,29 @@ def confusion_counts(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pre
     return df.groupBy(F.col(y_true).alias("y_true"), F.col(y_pred).alias("y_pred")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _class_values(classes) -> list:
-    return value_list(classes.select(classes.columns[0])) if isinstance(classes, DataFrame) else list(classes)
+def _class_pairs(counts: DataFrame, classes) -> DataFrame:
+    """All (y_true, y_pred) of listed classes; a table of classes is numbered and paired by number, wherever its rows lie."""
+    if isinstance(classes, DataFrame):
+        values = classes.select(F.col(classes.columns[0]).alias("_c")).dropna().distinct()
+        numbered = ordered_row_number(values, "_c", "_i")
+        k = values.count()
+        pairs = counts.sparkSession.range(k * k).select((F.floor(F.col("id") / k) + 1).alias("_a"), (F.col("id") % k + 1).alias("_b"))
+        first, second = (numbered.select(F.col("_i").alias(i), F.col("_c").alias(c)) for i, c in (("_a", "y_true"), ("_b", "y_pred")))
+        return pairs.join(first, "_a").join(second, "_b").select("y_true", "y_pred")
+    literals = F.array(*[F.lit(c) for c in classes])
+    cells = counts.sparkSession.range(1).select(F.explode(literals).alias("y_true"))
+    return cells.select("y_true", F.explode(literals).alias("y_pred"))
 
 
 def confusion_grid(counts: DataFrame, classes) -> DataFrame:
     """All K x K cells, zeros included, and the observed cells of classes not listed (or NULL): n sums to the counted rows."""
-    values = _class_values(classes)
-    literals = F.array(*[F.lit(c) for c in values])
-    cells = counts.sparkSession.range(1).select(F.explode(literals).alias("y_true"))
-    cells = cells.select("y_true", F.explode(literals).alias("y_pred"))
-    listed = F.col("y_true").isin(values) & F.col("y_pred").isin(values)
-    others = counts.where(~F.coalesce(listed, F.lit(False))).select("y_true", "y_pred", "n")
-    return cells.join(counts, ["y_true", "y_pred"], "left").withColumn("n", F.coalesce("n", F.lit(0)).cast("long")).unionByName(others)
+    cells = _class_pairs(counts, classes).join(counts, ["y_true", "y_pred"], "full")
+    return cells.select("y_true", "y_pred", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def confusion_pivot(counts: DataFrame, classes, prefix: str = "pred_") -> DataFrame:
     """One row per true class, one column per listed class, and one for all other predictions, missing ones included."""
-    values = _class_values(classes)
+    values = value_list(classes.select(classes.columns[0])) if isinstance(classes, DataFrame) else list(classes)
     total = lambda rows: F.coalesce(F.sum(F.when(rows, F.col("n"))), F.lit(0)).cast("long")
     columns = [total(F.col("y_pred") == F.lit(c)).alias(f"{prefix}{c}") for c in values]
     rest = total(~F.coalesce(F.col("y_pred").isin(values), F.lit(False))).alias(f"{prefix}other")

@@ -21,6 +21,7 @@ class Outcome:
     history: DataFrame | None
     scores: DataFrame
     confusion: DataFrame
+    undecoded: int = 0
 
 
 def classify_table(df: DataFrame, key, features: list[str], label: str, epochs: int = 300, optimizer="adam", fraction: float = 0.33, seed=42) -> Outcome:
@@ -57,12 +58,16 @@ def classify_arrays(
 def classify_folders(
     spark: SparkSession, root: str, height: int, width: int, train_folder: str = "Training", test_folder: str = "Test", glob: str = "*",
     fraction: float = 0.2, variants: int = 1, features: int = 64, backbone: Callable | None = None, max_iter: int = 30, seed: int = 42,
+    preprocess: str = "unit_range",
 ) -> Outcome:
     """Transfer learning on a class-per-folder tree.
 
     Validation files are chosen from the listing, images decoded once, training
     images augmented, frozen features written as a table, and a softmax head
-    fitted on it.  ``backbone`` maps (n, pixels) to (n, features).
+    fitted on it.  ``backbone`` maps (n, pixels) to (n, features).  Files that
+    cannot be decoded take no part after the cuts; the outcome counts them.
+    ``preprocess`` is a mode of ``normalize_channels``; channel means are those
+    of the training images.
     """
     listing = read_labeled_files(spark, root, glob).where(F.col("split") == train_folder).select("path", "label")
     dictionary = curate.class_index(listing)
@@ -71,15 +76,18 @@ def classify_folders(
     images = read_images(spark, root, glob, rgb=True)
     sided = split.apply_class_cuts(images, cuts, "path", out="_side")
     side = F.when(F.col("split") == train_folder, F.col("_side")).when(F.col("split") == test_folder, "test")
-    sized = transform.resize_images(sided.withColumn("split", side).where(F.col("split").isNotNull()), F.col("height"), F.col("width"), 3, height, width)
+    sized = transform.resize_images(sided.withColumn("split", side).where(F.col("split").isNotNull() & F.col("decoded")), F.col("height"), F.col("width"), 3, height, width)
     warped = augment.affine(augment.augment_plan(sized, "path", variants, seed=seed, split="split"), height, width, 3)
-    ready = transform.normalize_channels(warped.select("path", "variant", "split", "label", "pixels"), "unit_range")
+    means = transform.channel_means(sized.where(F.col("split") == "train"), 3) if preprocess == "subtract_mean" else None
+    ready = transform.normalize_channels(warped.select("path", "variant", "split", "label", "pixels"), preprocess, means=means)
     frozen = score.extract_features(ready, "pixels", height * width * 3, features, seed, backbone).drop("pixels")
     path = scratch_dir(spark, "features")
     curate.attach_names(frozen, dictionary, "label").write.parquet(path)
     table = spark.read.parquet(path)
     state = train.fit_softmax_head(table.where(F.col("split") == "train"), "frozen", "class_index", classes, max_iter)
     outcome = _judge_softmax(table.select("split", F.col("class_index").alias("y_true"), F.col("frozen").alias("_x")), "_x", state, None, list(range(classes)), "test")
+    listed = read_labeled_files(spark, root, glob).where(F.col("split").isin(train_folder, test_folder)).select("path").count()
+    outcome.undecoded = listed - table.where(F.col("variant") == 0).count()
     named = outcome.confusion
     for side in ("y_true", "y_pred"):
         named = curate.attach_names(named, dictionary.select(F.col("class_index").alias(side), F.col("label").alias(f"{side}_name")), side)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions import dense
-from tidemill.functions.hashing import UINT32
+from tidemill.functions.hashing import uniform
 from tidemill.sources.synthetic import grid
 
 
@@ -45,13 +45,11 @@ def score_dense(df: DataFrame, layers: dense.Layers, features: str, output: str
 
 
 def seeded_projection(dim_in: int, dim_out: int, seed: int) -> np.ndarray:
-    """Fixed weights in [-1, 1) from the same md5 uniforms the tables use."""
-    import hashlib
-
-    def u(i: int) -> float:
-        return int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:8], 16) / UINT32
-
-    return np.array([u(i) * 2.0 - 1.0 for i in range(dim_in * dim_out)]).reshape(dim_in, dim_out)
+    """Fixed weights in [-1, 1) from the same md5 uniforms the tables use, drawn on the cluster."""
+    drawn = SparkSession.active().range(dim_in * dim_out).select("id", (uniform(seed, "id") * 2.0 - 1.0).alias("w")).toArrow()
+    weights = np.empty(dim_in * dim_out)
+    weights[drawn.column("id").to_numpy()] = drawn.column("w").to_numpy()
+    return weights.reshape(dim_in, dim_out)
 
 
 def extract_features(df: DataFrame, features: str, dim_in: int, dim_out: int, seed: int = 42, fn: Callable | None = None, out: str = "frozen") -> DataFrame:

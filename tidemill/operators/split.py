@@ -7,7 +7,8 @@ from tidemill.functions.hashing import as_list, uniform_below
 from tidemill.plans.lookup import small_join
 from tidemill.plans.ranking import first_cut, group_cut, hash_cut, hash_row_number
 
-TOP_K_ROWS = 100_000
+#: A top-k sends so many rows of every task to one task; beyond, a cut value is found first.
+TOP_K_ROWS = 1_000
 
 
 def check_unique(df: DataFrame, key) -> None:

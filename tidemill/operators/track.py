@@ -47,7 +47,7 @@ class RunStore:
         return self.spark.read.schema(METRIC_ROWS).parquet(f"{self.path}/metrics")
 
     def _append(self, df: DataFrame, table: str) -> None:
-        df.write.mode("append").partitionBy("experiment").parquet(f"{self.path}/{table}")
+        df.hint("rebalance", "experiment").write.mode("append").partitionBy("experiment").parquet(f"{self.path}/{table}")
 
 
 def history_metrics(history: DataFrame) -> DataFrame:

@@ -74,13 +74,29 @@ def doubling_time(df: DataFrame, x: str, y: str, by: str | None = None) -> DataF
 
 
 def _moments(df: DataFrame, features: list[str], target: str, split: str | None, validation: str) -> dict[bool, tuple]:
-    """Row count, X'X, X'y and y'y per side, from one aggregate of products."""
+    """Row count, X'X, X'y and y'y per side, from one aggregate of products.
+
+    Many features are multiplied as matrices, an Arrow batch at a time: a task
+    hands on one Gram matrix per side, and matrices are added by position.
+    """
     columns = {**{c: F.col(c).cast("double") for c in features}, "_one": F.lit(1.0), "_y": F.col(target).cast("double")}
     names = list(columns)
     pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
     side = (F.col(split) == validation) if split else F.lit(False)
     # Rows with a missing value take no part, or sums and counts would not fit.
     complete = df.select(side.alias("_val"), *[c.alias(n) for n, c in columns.items()]).dropna()
+    d = len(features) + 1
+    if d > NATIVE_PRODUCTS:
+        partial = complete.mapInArrow(_gram, "_val boolean, pos int, s double")
+        added = partial.groupBy("_val", "pos").agg(F.sum("s").alias("s")).toArrow()  # d x d numbers per side
+        where, pos, s = (added.column(c).to_numpy() for c in ("_val", "pos", "s"))
+        grams = {}
+        for v in set(where.tolist()):
+            full = np.zeros(len(names) ** 2)
+            full[pos[where == v]] = s[where == v]
+            full = full.reshape(len(names), len(names))
+            grams[v] = (full[d - 1, d - 1], full[:d, :d], full[:d, d], full[d, d])
+        return grams
     sums = (
         complete.groupBy("_val")
         .agg(*[F.sum(F.col(names[i]) * F.col(names[j])).alias(f"s{i}_{j}") for i, j in pairs])
@@ -90,11 +106,28 @@ def _moments(df: DataFrame, features: list[str], target: str, split: str | None,
         full = np.zeros((len(names), len(names)))
         for i, j in pairs:
             full[i, j] = full[j, i] = row[f"s{i}_{j}"]
-        d = len(features) + 1
         result[row["_val"]] = (full[d - 1, d - 1], full[:d, :d], full[:d, d], full[d, d])
     return result
 
 
+#: Up to so many columns products are native sums in one aggregate; both ways give the same sums.
+NATIVE_PRODUCTS = 16
+
+
+def _gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One Gram matrix of all columns per side of a task's rows, as (side, position, sum)."""
+    sums: dict[bool, np.ndarray] = {}
+    for batch in batches:
+        x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[1:]], axis=1)
+        side = batch.column(0).to_numpy(zero_copy_only=False).astype(bool)
+        for v in np.unique(side).tolist():
+            rows = x[side == v]
+            sums[v] = sums.get(v, 0.0) + rows.T @ rows
+    for v, full in sums.items():
+        n = full.size
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, v)), pa.array(np.arange(n, dtype=np.int32)), pa.array(full.ravel())], names=["_val", "pos", "s"])
+
+
 def fit_linear_gd(
     df: DataFrame, features, target: str, epochs: int, steps: int | None = None, optimizer=None,
     schedule: Callable[[int, float], float] | None = None, split: str | None = None, validation: str = "validation",

@@ -4,10 +4,15 @@ Statistics are one-row frames used as scalar subqueries: computed once, then
 applied in a projection, so the data is neither joined nor shuffled.
 """
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemill.functions.arrays import argmax_index, nearest_resize, to_rows
+from tidemill.functions.arrays import argmax_index, to_rows
 from tidemill.functions.hashing import as_list
 from tidemill.plans.lookup import small_join
 
@@ -111,5 +116,35 @@ def normalize_channels(df: DataFrame, mode: str, channels: int = 3, means: DataF
 
 
 def resize_images(df: DataFrame, height, width, channels: int, new_height: int, new_width: int, col: str = "pixels", out: str | None = None) -> DataFrame:
-    """Nearest-neighbour resize of flat channel-last images; the old size may differ by row (columns)."""
-    return df.withColumn(out or col, nearest_resize(F.col(col), height, width, channels, new_height, new_width))
+    """Nearest-neighbour resize of flat channel-last images; the old size may differ by row (columns).
+
+    Each old size of a batch gives one index vector, and a batch is one gather.
+    A NULL image or size gives NULL; an image of another length than its size
+    says is an error.
+    """
+    name = out or col
+    sized = df.withColumns({f"_{n}": (v if isinstance(v, Column) else F.lit(v)).cast("int") for n, v in (("height", height), ("width", width))})
+    schema = T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, df.schema[col].dataType)])
+    others = [f.name for f in schema.fields[:-1]]
+
+    def source(h: int, w: int) -> np.ndarray:
+        row, column = np.arange(new_height) * h // new_height, np.arange(new_width) * w // new_width
+        return ((row[:, None] * w + column)[..., None] * channels + np.arange(channels)).ravel()
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            images, sizes = batch.column(col), list(zip(batch.column("_height").to_pylist(), batch.column("_width").to_pylist()))
+            lengths = images.value_lengths().to_pylist()
+            present = np.array([n is not None and None not in s for n, s in zip(lengths, sizes)], dtype=bool)
+            wrong = [(s, n) for s, n, p in zip(sizes, lengths, present) if p and s[0] * s[1] * channels != n]
+            if wrong:
+                raise ValueError(f"an image of {wrong[0][1]} values is not {wrong[0][0]} x {channels}")
+            index = {s: source(*s) for s, p in zip(sizes, present) if p for s in [s]}
+            starts = np.cumsum([0, *[n or 0 for n in lengths]])
+            picks = [starts[i] + index[sizes[i]] for i in np.flatnonzero(present)]
+            values = images.flatten().take(pa.array(np.concatenate(picks))) if picks else pa.array([], images.type.value_type)
+            offsets = pa.array(np.r_[0, np.cumsum(present)].astype(np.int32) * (new_height * new_width * channels))
+            resized = pa.ListArray.from_arrays(offsets, values, mask=pa.array(~present))
+            yield pa.RecordBatch.from_arrays([*[batch.column(o) for o in others], resized], names=schema.names)
+
+    return sized.mapInArrow(gather, schema)

@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,12 +13,18 @@ LOOKUP_BYTES = 64 * 1024 * 1024
 def pin_small(small: DataFrame, limit: int = LOOKUP_ROWS) -> DataFrame | None:
     """The table as local rows if it has at most ``limit`` of them (and 64 MB), else None.
 
-    At most limit + 1 rows ever reach the driver.
+    Rows and bytes are added up on the cluster; nothing reaches the driver
+    before they are known to be few.
     """
-    rows = small.limit(limit + 1).toArrow()
-    if rows.num_rows > limit or rows.nbytes > LOOKUP_BYTES:
-        return None
-    return small.sparkSession.createDataFrame(rows, small.schema)
+    width = F.octet_length(F.to_json(F.struct(*small.columns)))
+    small = small.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows, size = small.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
+        if rows > limit or size > LOOKUP_BYTES:
+            return None
+        return small.sparkSession.createDataFrame(small.toArrow(), small.schema)
+    finally:
+        small.unpersist()
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") -> DataFrame:

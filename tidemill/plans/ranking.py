@@ -17,9 +17,16 @@ from tidemill.functions.arrays import let
 from tidemill.functions.hashing import as_list, digest
 from tidemill.plans.lookup import null_safe_join, small_join
 
+#: Bounds of value buckets, at least.
 SAMPLE = 4095
 
 
+def bound_count(df: DataFrame) -> int:
+    """One less than a power of two: at least four value buckets per shuffle partition."""
+    wanted = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(SAMPLE, (1 << (wanted - 1).bit_length()) - 1)
+
+
 def bucket_digits(df: DataFrame) -> int:
     """Hex digits giving at least four buckets per shuffle partition: 16^2 to 16^5 of them."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -53,23 +60,23 @@ def hash_row_number(df: DataFrame, key, seed=0, out: str = "rank") -> DataFrame:
 def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test") -> DataFrame:
     """Flag exactly ceil(n * fraction) rows: the first ones in digest order.
 
-    Counting per bucket finds the bucket that holds the last flagged row, and
-    only that bucket (one of 16^3 to 16^6) is sorted.  Rows are then compared with
+    Counting per bucket, first by 16^3 of them and then inside one, finds the
+    bucket that holds the last flagged row, and only that one is sorted.  Rows are then compared with
     the cut inside a projection; the table is not shuffled.
     """
     keys = as_list(key)
     hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, bucket_digits(df) + 1))
     every = Window.partitionBy(F.lit(0))
-    counts = (
-        hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            "_b", "_n",
-            F.coalesce(F.sum("_n").over(_before(order="_b")), F.lit(0)).alias("_start"),
-            F.ceil(F.sum("_n").over(every) * F.lit(float(fraction))).alias("_k"),
-        )
+    counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_c", F.substring("_b", 1, 3))
+    coarse = counts.groupBy("_c").agg(F.sum("_n").alias("_n")).select(  # 4,096 rows at most
+        "_c", "_n",
+        F.coalesce(F.sum("_n").over(_before(order="_c")), F.lit(0)).alias("_start"),
+        F.ceil(F.sum("_n").over(every) * F.lit(float(fraction))).alias("_k"),
     )
-    holder = counts.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_start") + F.col("_n")))
-    holder = holder.select("_b", (F.col("_k") - F.col("_start")).alias("_m"))
+    inside = (F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_start") + F.col("_n"))
+    part = coarse.where(inside).select("_c", (F.col("_k") - F.col("_start")).alias("_k"))
+    fine = counts.join(F.broadcast(part), "_c").withColumn("_start", F.coalesce(F.sum("_n").over(_before("_c", order="_b")), F.lit(0)))
+    holder = fine.where(inside).select("_b", (F.col("_k") - F.col("_start")).alias("_m"))
     position = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
     last = (
         hashed.join(F.broadcast(holder), "_b")  # one row at most
@@ -81,22 +88,30 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
 
 
 def _bounds(df: DataFrame, col: str, identity: list) -> DataFrame:
-    """One row: up to 4,095 sorted values of ``col``.
+    """One row: up to ``bound_count`` sorted values of ``col``.
 
     The values are those with the smallest digests: a uniform sample that is
-    the same on every run, read by a top-k (no sort of the table).
+    the same on every run, read by a top-k (no sort of the table).  Digests
+    over a threshold set by the row count are filtered out before it, so each
+    task hands on a few rows however many tasks there are.
     """
-    sample = df.select(F.col(col).alias("_v"), digest("bounds", *identity).alias("_h")).orderBy("_h").limit(SAMPLE)
+    size = bound_count(df)
+    hashed = df.select(F.col(col).alias("_v"), digest("bounds", *identity).alias("_h"))
+    # Twice the wanted rows are expected below it; as hex digits, so no number is built per row.
+    share = df.agg(F.least(F.lit(1.0), F.lit(2.0 * size) / F.greatest(F.count(F.lit(1)), F.lit(1)))).scalar()
+    threshold = F.when(share < 1.0, F.lower(F.lpad(F.hex(F.floor(share * F.lit(2.0**48)).cast("long")), 12, "0"))).otherwise("g")
+    sample = hashed.where(F.col("_h") < threshold).orderBy("_h").limit(size)
     return sample.agg(F.array_sort(F.collect_list("_v")).alias("_a"))
 
 
 def value_bucketer(df: DataFrame, col: str, identity: list):
     """A function adding ``_b``, a bucket that grows with ``col``; ``identity`` names a unique key of ``df``."""
     bounds = _bounds(df, col, identity)
-    halves = F.array(*[F.lit(SAMPLE + 1 >> i) for i in range(1, (SAMPLE + 1).bit_length())])
+    buckets = bound_count(df) + 1
+    halves = F.array(*[F.lit(buckets >> i) for i in range(1, buckets.bit_length())])
 
     def search(sorted_bounds: Column) -> Column:
-        """How many bounds are <= the value, by binary search: 12 comparisons."""
+        """How many bounds are <= the value, by binary search."""
         def step(found: Column, half: Column) -> Column:
             return found + F.when(F.get(sorted_bounds, found + half - 1) <= F.col(col), half).otherwise(0)
 
@@ -119,7 +134,7 @@ def ordered_row_number(df: DataFrame, order: str, out: str = "rank") -> DataFram
         .select("_b", F.coalesce(F.sum("_n").over(_before(order="_b")), F.lit(0)).alias("_start"))
     )
     ranked = bucketed.withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy(order)))
-    ranked = ranked.join(F.broadcast(starts), "_b")  # at most 4,096 rows
+    ranked = ranked.join(F.broadcast(starts), "_b")  # a row per bucket, a few per shuffle partition
     return ranked.withColumn(out, (F.col("_start") + F.col("_r")).cast("long")).drop("_b", "_r", "_start")
 
 
@@ -132,7 +147,7 @@ def group_cut(df: DataFrame, group: str, order: str, keep: Column) -> DataFrame:
     """
     narrow = df.select(group, order)
     cells = value_bucketer(narrow, order, [group, order])(narrow).groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    # At most 4,096 cells per group.
+    # At most a cell per bucket and group.
     cells = cells.select(
         group, "_b", "_n",
         F.coalesce(F.sum("_n").over(_before(group, order="_b")), F.lit(0)).alias("_start"),

@@ -42,6 +42,7 @@ IMAGE_SCHEMA = T.StructType([
     T.StructField("height", T.IntegerType()),
     T.StructField("width", T.IntegerType()),
     T.StructField("channels", T.IntegerType()),
+    T.StructField("decoded", T.BooleanType()),
     T.StructField("pixels", T.ArrayType(T.FloatType())),
 ])
 
@@ -50,22 +51,27 @@ def read_images(spark: SparkSession, root: str, glob: str = "*", rgb: bool = Fal
     """Decoded images as flat height x width x channels arrays in R,G,B(,A) order.
 
     With ``rgb`` every image comes out with three channels: grey is repeated,
-    transparency dropped.  Spark's image source decodes in the JVM (as B,G,R) and drops files it
-    cannot decode; its URL-encoded paths are brought to the form of a listing.
+    transparency dropped.  A file that cannot be decoded stays, with ``decoded``
+    false and sizes and pixels NULL.  Spark's image source decodes in the JVM
+    (as B,G,R); its URL-encoded paths are brought to the form of a listing.
     """
     images = (
-        spark.read.format("image").option("dropInvalid", "true").option("recursiveFileLookup", "true")
+        spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob).load(root)
         .select(
             F.regexp_replace(F.url_decode(F.replace("image.origin", F.lit("+"), F.lit("%2B"))), "^file:///", "file:/").alias("path"),
-            "image.height", "image.width", F.col("image.nChannels").alias("channels"), "image.data",
+            *[F.when(F.col(f"image.{c}") > 0, F.col(f"image.{c}")).alias(c) for c in ("height", "width", "nChannels")], "image.data",
         )
     )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             arrays, depths = [], []
-            for data, channels in zip(batch.column("data"), batch.column("channels").to_pylist()):
+            for data, channels in zip(batch.column("data"), batch.column("nChannels").to_pylist()):
+                if channels is None:
+                    arrays.append(None)
+                    depths.append(None)
+                    continue
                 pixels = np.frombuffer(data.as_buffer(), dtype=np.uint8).astype(np.float32).reshape(-1, channels)
                 if channels >= 3:
                     pixels = pixels[:, [2, 1, 0, *range(3, channels)]]
@@ -74,7 +80,8 @@ def read_images(spark: SparkSession, root: str, glob: str = "*", rgb: bool = Fal
                 arrays.append(pixels.ravel())
                 depths.append(pixels.shape[1])
             kept = [batch.column(n) for n in ("path", "split", "label", "height", "width")]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(depths, pa.int32()), pa.array(arrays, pa.list_(pa.float32()))], names=IMAGE_SCHEMA.names)
+            columns = [*kept, pa.array(depths, pa.int32()), pa.array([d is not None for d in depths]), pa.array(arrays, pa.list_(pa.float32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=IMAGE_SCHEMA.names)
 
     return with_path_labels(images).mapInArrow(decode, IMAGE_SCHEMA)
 
