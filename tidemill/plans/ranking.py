@@ -64,8 +64,8 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
     bucket that holds the last flagged row, and only that one is sorted.  Rows are then compared with
     the cut inside a projection; the table is not shuffled.
     """
-    keys = as_list(key)
-    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, bucket_digits(df) + 1))
+    keys, digits = as_list(key), bucket_digits(df) + 1
+    hashed = df.select(digest(seed, *keys).alias("_h"), *keys).withColumn("_b", F.substring("_h", 1, digits))
     every = Window.partitionBy(F.lit(0))
     counts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_c", F.substring("_b", 1, 3))
     coarse = counts.groupBy("_c").agg(F.sum("_n").alias("_n")).select(  # 4,096 rows at most
@@ -75,8 +75,11 @@ def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test")
     )
     inside = (F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_start") + F.col("_n"))
     part = coarse.where(inside).select("_c", (F.col("_k") - F.col("_start")).alias("_k"))
-    fine = counts.join(F.broadcast(part), "_c").withColumn("_start", F.coalesce(F.sum("_n").over(_before("_c", order="_b")), F.lit(0)))
-    holder = fine.where(inside).select("_b", (F.col("_k") - F.col("_start")).alias("_m"))
+    if digits > 3:
+        fine = counts.join(F.broadcast(part), "_c").withColumn("_start", F.coalesce(F.sum("_n").over(_before("_c", order="_b")), F.lit(0)))
+        holder = fine.where(inside).select("_b", (F.col("_k") - F.col("_start")).alias("_m"))
+    else:  # few buckets: each part is one
+        holder = part.select(F.col("_c").alias("_b"), F.col("_k").alias("_m"))
     position = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *keys))
     last = (
         hashed.join(F.broadcast(holder), "_b")  # one row at most
