@@ -112,15 +112,20 @@ def cross_links(entries: DataFrame, sets: DataFrame, stars: DataFrame, labels: D
     fits = (F.col("x.comp") < F.col("y.comp")) & (100 * F.col("x.n_hi") >= percent * F.col("y.n_lo")) & (100 * F.col("y.n_hi") >= percent * F.col("x.n_lo"))
     fits = fits & (F.least("x.left", "y.left") >= need(F.col("x.n_lo"), F.col("y.n_lo")))
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & fits)
-    pairs = pairs.select(F.col("x.token").alias("token"), F.col("x.pivot").alias("pa"), F.col("y.pivot").alias("pb"), (F.col("x.beyond") + F.col("y.beyond")).alias("slack"), need(F.col("x.n_lo"), F.col("y.n_lo")).alias("least"))
-    pairs = kept(pairs, "block-pairs")
+    bounds = [F.col(f"{side}.{c}").alias(f"{c}_{name}") for side, name in (("x", "a"), ("y", "b")) for c in ("n_lo", "n_hi", "left", "beyond")]
+    pairs = kept(pairs.select(F.col("x.token").alias("token"), F.col("x.pivot").alias("pa"), F.col("y.pivot").alias("pb"), *bounds), "block-pairs")
     answers = _overlap(pairs.select("pa", "pb").distinct(), sets, "pa", "pb").select("pa", "pb", "inter")
-    live = pairs.join(answers, ["pa", "pb"]).where("inter + slack >= least").select("token", "pa", "pb", "inter")
-    a = at.select("token", F.col("pivot").alias("pa"), F.col("d1").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("beyond").alias("ba"))
-    b = at.select("token", F.col("pivot").alias("pb"), F.col("d1").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("beyond").alias("bb"))
+    live = pairs.join(answers, ["pa", "pb"]).where(F.col("inter") + F.col("beyond_a") + F.col("beyond_b") >= need(F.col("n_lo_a"), F.col("n_lo_b")))
+    a = at.select(F.col("token").alias("ta"), F.col("pivot").alias("qa"), F.col("d1").alias("a"), F.col("n").alias("na"), F.col("pos").alias("ia"), F.col("beyond").alias("ba"))
+    b = at.select(F.col("token").alias("tb"), F.col("pivot").alias("qb"), F.col("d1").alias("b"), F.col("n").alias("nb"), F.col("pos").alias("ib"), F.col("beyond").alias("bb"))
+    # a member goes on only if the best that the other block may hold could be its partner
+    least = need(F.col("na"), F.col("n_lo_b"))
+    hopeful = (F.col("token") == F.col("ta")) & (F.col("pa") == F.col("qa")) & (100 * F.col("na") >= percent * F.col("n_lo_b")) & (100 * F.col("n_hi_b") >= percent * F.col("na"))
+    hopeful = hopeful & (F.least(F.col("na") - F.col("ia"), F.col("left_b")) >= least) & (F.col("inter") + F.col("ba") + F.col("beyond_b") >= least)
     wanted = need(F.col("na"), F.col("nb"))
-    possible = (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= wanted) & (F.col("inter") + F.col("ba") + F.col("bb") >= wanted)
-    members = live.join(a, ["token", "pa"]).join(b, ["token", "pb"]).where(possible).select("a", "b").distinct()
+    possible = (F.col("token") == F.col("tb")) & (F.col("pb") == F.col("qb")) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
+    possible = possible & (F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib")) >= wanted) & (F.col("inter") + F.col("ba") + F.col("bb") >= wanted)
+    members = live.join(a, hopeful).join(b, possible).select("a", "b").distinct()
     return kept(_overlap(kept(members, "members"), sets, "a", "b").where(_similar(percent)).select("a", "b"), "cross-links")
 
 
