@@ -85,7 +85,7 @@ def classify_folders(
     curate.attach_names(frozen, dictionary, "label").write.parquet(path)
     table = spark.read.parquet(path)
     state = train.fit_softmax_head(table.where(F.col("split") == "train"), "frozen", "class_index", classes, max_iter)
-    outcome = _judge_softmax(table.select("split", F.col("class_index").alias("y_true"), F.col("frozen").alias("_x")), "_x", state, None, list(range(classes)), "test")
+    outcome = _judge_softmax(table.select("split", F.col("class_index").alias("y_true"), F.col("frozen").alias("_x")), "_x", state, train.softmax_history(spark, state), list(range(classes)), "test")
     listed = read_labeled_files(spark, root, glob).where(F.col("split").isin(train_folder, test_folder)).select("path").count()
     outcome.undecoded = listed - table.where(F.col("variant") == 0).count()
     named = outcome.confusion

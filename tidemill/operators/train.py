@@ -37,6 +37,8 @@ class FitState:
     output: str = "linear"
     epoch: int = 0
     lr: float | None = None
+    losses: list[float] = field(default_factory=list)
+    converged: bool | None = None
 
     @property
     def layers(self) -> dense.Layers:
@@ -266,7 +268,12 @@ def fit_logistic(
 
 
 def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max_iter: int = 30, reg: float = 0.0) -> FitState:
-    """Multinomial logistic layer on frozen array features, by Spark ML's L-BFGS."""
+    """Multinomial logistic layer on frozen array features, by Spark ML's L-BFGS.
+
+    The state tells how the fit ended: ``losses`` before each iteration and at
+    the end, ``epoch`` iterations, and ``converged`` if they stopped by
+    themselves, not at ``max_iter``.
+    """
     data = df.select(array_to_vector(F.col(features).cast("array<double>")).alias("features"), F.col(label).cast("double").alias("label"))
     # Without the family's own class statistics a missing class would shrink the output.
     model = LogisticRegression(family="multinomial", maxIter=max_iter, regParam=reg).fit(data)
@@ -275,7 +282,14 @@ def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max
     b = np.full(classes, -1e3)  # a class never seen gets no probability
     w[:, :matrix.shape[0]], b[:matrix.shape[0]] = matrix.T, bias
     b[~np.isfinite(b)] = -1e3
-    return FitState(dense.pack([(w, b)]), np.zeros((0, w.size + classes)), 0, [w.shape[0], classes], "softmax")
+    losses = [float(x) for x in model.summary.objectiveHistory]
+    done = len(losses) - 1
+    return FitState(dense.pack([(w, b)]), np.zeros((0, w.size + classes)), done, [w.shape[0], classes], "softmax", done, None, losses, done < max_iter)
+
+
+def softmax_history(spark: SparkSession, state: FitState) -> DataFrame:
+    """The training loss before each iteration of ``fit_softmax_head``, in the columns of the other histories."""
+    return _history(spark, [(i, None, loss, None, None, None) for i, loss in enumerate(state.losses[:-1])])
 
 
 DRIVER_DOUBLES = 4_000_000

@@ -192,6 +192,26 @@ def softmax_head(spark, sf_dir):
     return confusion_grid(confusion_counts(scored), range(10))
 
 
+@query("softmax_optimum", f"""
+    SELECT DISTINCT label::INT AS class, 0.0::DOUBLE AS slope, true AS better
+    FROM (SELECT label, {sql_split('vec_id', 0.2)} AS split FROM embeddings) WHERE split = 'train' AND label IS NOT NULL""")
+def softmax_optimum(spark, sf_dir):
+    """The loss is convex, so a head is right exactly where every slope of it vanishes: per class the steepest one, and whether the loss beats class shares."""
+    data = vectors(spark, sf_dir).where(F.col("split") == "train")
+    head = t.fit_softmax_head(data, "embedding", "label", 10, max_iter=500)
+    scored = score_dense(data.select("label", "embedding"), head.layers, "embedding")
+    scored = scored.select("label", F.array_append("embedding", F.lit(1.0)).alias("x"), F.posexplode("probs").alias("class", "p"))
+    own = F.col("label") == F.col("class")
+    error = scored.select("class", (F.col("p") - own.cast("double")).alias("e"), "x", F.when(own, -F.ln("p")).alias("loss"))
+    slopes = error.select("class", "e", F.posexplode("x").alias("pos", "v")).groupBy("class", "pos").agg(F.avg(F.col("e") * F.col("v")).alias("slope"))
+    steepest = slopes.groupBy("class").agg(rounded(F.max(F.abs("slope")), 2).alias("slope"))
+    shares = error.groupBy("class").agg(F.count("loss").alias("n"), F.sum("loss").alias("loss"))
+    judged = shares.agg(F.sum("n").alias("all"), F.sum("loss").alias("loss"), F.sum(F.col("n") * F.ln(F.greatest("n", F.lit(1)))).alias("logs"))
+    better = judged.select(F.col("loss") < F.col("all") * F.ln("all") - F.col("logs"))
+    seen = shares.where("n > 0").select("class")
+    return steepest.join(seen, "class", "left_semi").withColumn("better", better.scalar())
+
+
 @query("dense_regression")
 def dense_regression(spark, sf_dir):
     """A hidden layer fitted to a surface sampled at one point per order."""
