@@ -356,6 +356,15 @@ def test_pages_keep_the_article_and_lose_the_template(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_raw_elements_end_at_their_own_end_tag(spark):
+    article = "<body><article><p>Kept text</p><p>and more</p></article>"
+    heads = ["<script>for(i=0;i<n;i++){f(i)}</script>", "<title>i<n and so on</title>", "<STYLE>a<b</Style >", "<textarea>x<y '</textarea\n>", "<script>a<b</scripty></script>", "<svg><title>p<q</title></svg>"]
+    rows = [(i, f"http://{i}/", f"<head>{h}</head>{article}") for i, h in enumerate(heads)]
+    rows += [(10, "http://10/", "<body><article><p>Before</p><script>i<n;</article><p>lost, as in browsers</p>"), (11, "http://11/", "<body><article><p>Before</p></article><script>x</script")]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "Kept text\n\nand more" for i in range(len(heads))} | {10: "Before", 11: "Before"}
+
+
 def test_tree_matching_is_the_largest():
     a, b = "r(x(p),y,z(q,p))", "r(y,x(p,q),z(p))"
     got = html.align(a, b)

@@ -57,6 +57,26 @@ def label(tag: str, attributes: str) -> str:
     return f"{tag}.{first}*" if names and MAIN.search(names) else f"{tag}.{first}"
 
 
+def tokens(page: str):
+    """The page's tokens without what raw elements hold: from a start tag of one it goes on behind its own end tag, or nowhere if there is none."""
+    at = 0
+    while at < len(page):
+        for m in TOKEN.finditer(page, at):
+            ending, tag, attributes, _ = m.groups()
+            if tag and not ending and tag.lower() in RAW and not attributes.endswith("/"):
+                end = _end_of(tag.lower()).search(page, m.end())
+                at = end.end() if end else len(page)
+                break
+            yield m
+        else:
+            return
+
+
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}(?:[\s/][^>]*)?>", re.I)
+
+
 def parse(page: str) -> tuple[str, list[int], list[str], list[int]]:
     """The shape of a page's tree, and its text blocks in page order: node, text, letters in links.
 
@@ -66,7 +86,7 @@ def parse(page: str) -> tuple[str, list[int], list[str], list[int]]:
     """
     root = Node("html", "html")
     stack, blocks, run, linked, links = [root], [], [], 0, 0
-    hidden, skip = 0, None
+    hidden = 0
 
     def flush():
         nonlocal run, linked
@@ -81,22 +101,17 @@ def parse(page: str) -> tuple[str, list[int], list[str], list[int]]:
         flush()
         del stack[depth:]
 
-    for m in TOKEN.finditer(page):
+    for m in tokens(page):
         ending, tag, attributes, text = m.groups()
         if text is not None:
-            if skip is None and not hidden:
+            if not hidden:
                 run.append(text)
                 linked += len(text) if links else 0
             continue
         if tag is None:
             continue
         tag = tag.lower()
-        if skip is not None:
-            skip = None if ending and tag == skip else skip
-            continue
         if tag in RAW:
-            if not ending and not attributes.endswith("/"):
-                skip = tag
             continue
         if tag in VOID:
             if tag in ("br", "hr", "wbr"):
