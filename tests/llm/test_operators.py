@@ -365,6 +365,18 @@ def test_raw_elements_end_at_their_own_end_tag(spark):
     assert got == {i: "Kept text\n\nand more" for i in range(len(heads))} | {10: "Before", 11: "Before"}
 
 
+def test_all_places_of_main_text_stay_and_paragraphs_of_links(spark):
+    rows = [
+        (0, "http://a/", "<body><div class=content><p>A long first part</p></div><div class=ad>Buy</div><div class=content><p>Second</p></div>"),
+        (1, "http://b/", "<body><article><p>One</p></article><figure>Seen</figure><article><p>Two and more</p></article><ul><li><article><a>Teaser</a></article></li></ul>"),
+        (2, "http://c/", "<body><div id=content><h1>Head</h1></div><div class=ad>Buy</div><main><p>The body</p><ul><li><a>Source</a></ul></main>"),
+        (3, "http://d/", "<body><div><p><a>All of it is a link</a></p><p>Text</p><ul><li><a>Menu</a><li><div><a>Menu</a></div><li>Item with <a>x</a></ul></div>"),
+        (4, "http://e/", "<body><ul><li><article><a>Teaser</a></article></li></ul><p>Body</p>"),
+    ]
+    got = {r.page_id: r.text.split("\n\n") for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: ["A long first part", "Second"], 1: ["One", "Two and more"], 2: ["Head", "The body", "Source"], 3: ["All of it is a link", "Text", "Item with x"], 4: ["Body"]}
+
+
 def test_tree_matching_is_the_largest():
     a, b = "r(x(p),y,z(q,p))", "r(y,x(p,q),z(p))"
     got = html.align(a, b)

@@ -27,6 +27,7 @@ RAW = frozenset("script style textarea title noscript iframe xmp noembed noframe
 APART = frozenset("nav footer aside form button dialog menu fieldset input head header".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
+ITEMS = frozenset("li dt dd".split())
 FENCE = frozenset("article body div section main table ul ol dl td th aside nav footer header form html blockquote figure".split())
 ASIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|sign-?up|paywall|sidebar|side|rail|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|masthead|topbar|toolbar|site-header|page-header|shar(?:e|ing)|social|related|recommend\w*|trending|comments?|replies|respond|disqus|login|search|skip|toc|tags?|copyright|disclaimer|navigation|contentinfo|complementary|form)(?=$|[\s_-])",
@@ -250,36 +251,32 @@ def align(shape: str, reference: str) -> tuple:
 
 
 @lru_cache(maxsize=4096)
-def places(shape: str) -> tuple[tuple[bool, ...], tuple[int, ...]]:
-    """For each node: whether it lies apart from the main text, and the place of main text around it (-1: none).
+def places(shape: str) -> tuple[tuple[bool, ...], tuple[int, ...], tuple[bool, ...]]:
+    """For each node: whether it lies apart from the main text, the place of main text around it (-1: none), and whether it belongs to a list item outside any place.
 
-    A marked place inside another belongs to the outer one.
+    A marked place inside another belongs to the outer one.  A place inside a
+    list item (a teaser) is part of the item; paragraphs are not.
     """
-    apart, inside = [], []
+    apart, inside, item = [], [], []
     for name, at, parent, _ in tree(shape):
         apart.append(name.endswith("!") or (parent >= 0 and apart[parent]))
         outer = inside[parent] if parent >= 0 else -1
         inside.append(outer if outer >= 0 else (at if name.endswith("*") else -1))
-    return tuple(apart), tuple(inside)
+        item.append((parent >= 0 and item[parent]) or (outer < 0 and name.split(".")[0] in ITEMS))
+    return tuple(apart), tuple(inside), tuple(i and name.split(".")[0] != "p" for i, (name, *_) in zip(item, tree(shape), strict=True))
 
 
 def content(shape: str, nodes: list[int], texts: list[str], links: list[int], reference: str, constant: set[tuple[int, str]]) -> str:
     """The blocks left when template and parts beside the main text are gone.
 
-    If the page has places of main text, the one with most text is taken;
-    else all varying slots are, without lists that are mostly links.
+    If the page has places of main text, all of them are taken; else all
+    varying slots are.  List items outside a place go if they are mostly links.
     """
     match = align(shape, reference)
-    apart, inside = places(shape)
-    left = [(n, t, k) for n, t, k in zip(nodes, texts, links, strict=True) if not apart[n] and (match[n], digest(t)) not in constant]
-    sums: dict[int, int] = {}
-    for n, t, _ in left:
-        if inside[n] >= 0:
-            sums[inside[n]] = sums.get(inside[n], 0) + len(t)
-    if sums:
-        place = max(sums, key=lambda at: (sums[at], -at))
-        return "\n\n".join(t for n, t, _ in left if inside[n] == place)
-    return "\n\n".join(t for _, t, k in left if 2 * k <= len(t))
+    apart, inside, item = places(shape)
+    left = [(n, t) for n, t, k in zip(nodes, texts, links, strict=True) if not apart[n] and (match[n], digest(t)) not in constant and not (item[n] and 2 * k > len(t))]
+    marked = any(inside[n] >= 0 for n, _ in left)
+    return "\n\n".join(t for n, t in left if not marked or inside[n] >= 0)
 
 
 def digest(text: str) -> str:
