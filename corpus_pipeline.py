@@ -15,6 +15,8 @@ from tidemill.llm.common import kept, table
 
 #: Below this share of words in its likeliest language a text is in none of them (four languages: chance is 0.25).
 LEAST_SHARE = 0.3
+#: Near copies: words of a shingle, and the percentage of shingles that linked documents share.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest doc_id."""
-    return jaccard.one_per_group(docs).select(*docs.columns)
+    return jaccard.one_per_group(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,8 +35,8 @@ def shingle_set(text, k=4):
     return frozenset([tuple(w)] if 0 < len(w) < k else [tuple(w[i : i + k]) for i in range(len(w) - k + 1)])
 
 
-def brute_groups(rows):
-    sets = [(i, shingle_set(t)) for i, t in rows]
+def brute_groups(rows, words=4, percent=85):
+    sets = [(i, shingle_set(t, words)) for i, t in rows]
     up = list(range(len(sets)))
 
     def root(i):
@@ -46,7 +46,7 @@ def brute_groups(rows):
 
     for i, (_, a) in enumerate(sets):
         for j, (_, b) in enumerate(sets[:i]):
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 up[root(i)] = root(j)
     least = defaultdict(list)
     for i, (key, s) in enumerate(sets):

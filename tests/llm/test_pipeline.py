@@ -43,6 +43,19 @@ def test_near_copies_leave_one_of_each_group(stages):
     assert sorted(r.doc_id for r in after.collect()) == sorted({c for _, _, c in brute_groups(rows)})
 
 
+def test_near_copies_are_told_by_five_words_and_four_fifths(stages, spark, sf_dir):
+    words = [f"w{i}" for i in range(50)]
+    near = [*words[:25], "other", *words[26:]]  # 41 of 51 shingles of five words are shared, 43 of 51 of four
+    far = [*words[:25], "other", *words[26:38], "last", *words[39:]]
+    _, before, after = stages[2]
+    rows = [(r.doc_id, r.text) for r in before.collect()]
+    assert sorted(r.doc_id for r in after.collect()) == sorted({c for _, _, c in brute_groups(rows, 5, 80)})
+    own = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(far))]
+    left = pipeline.near_dedup(spark, spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in own], before.schema), sf_dir)
+    assert sorted(r.doc_id for r in left.collect()) == sorted({c for _, _, c in brute_groups(own, 5, 80)})
+    assert len({c for _, _, c in brute_groups(own, 5, 80)}) < len({c for _, _, c in brute_groups(own)})
+
+
 def test_copies_follow_the_draws(stages):
     _, before, after = stages[3]
     want = Counter(r.doc_id for r in mixing.mix(before).collect())
