@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import bpe, jaccard, langid, lines, mixing
-from tidemill.llm.common import kept, table
+from tidemill.llm.common import kept, narrow, table
 
 #: Below this share of words in its likeliest language a text is in none of them (four languages: chance is 0.25).
 LEAST_SHARE = 0.3
@@ -27,8 +27,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; n_chars follows the text."""
-    out = lines.drop_boilerplate(docs)
+    """Boilerplate lines of a source go; n_chars follows the text.
+
+    A group of near copies counts as one page for a line, or all lines that
+    its members share would go as boilerplate, from every one of them.
+    """
+    groups = jaccard.near_groups(docs, words=NEAR_WORDS, percent=NEAR_PERCENT).where("n_shingles > 0")
+    ids = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.min("component_id").alias("_page"), F.max("component_id").alias("_last")).where("_page = _last")
+    copies = kept(ids.where("_page <> _id").select("_id", "_page"), "near-pages")
+    named = docs.join(narrow(copies), F.col("doc_id") == F.col("_id"), "left")
+    heads = copies.select(F.col("_page").alias("_head")).distinct()
+    named = named.join(narrow(kept(heads, "near-heads")), F.col("doc_id") == F.col("_head"), "left")
+    out = lines.drop_boilerplate(named.withColumn("_page", F.coalesce("_page", "_head")), page="_page")
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast("long"))
     return out.select(*docs.columns)

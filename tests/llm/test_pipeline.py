@@ -1,5 +1,6 @@
 """The pipeline against the stages' brute-force versions, and the contract with the entry file."""
 
+import random
 import subprocess
 import sys
 from collections import Counter
@@ -56,6 +57,21 @@ def test_near_copies_are_told_by_five_words_and_four_fifths(stages, spark, sf_di
     assert len({c for _, _, c in brute_groups(own, 5, 80)}) < len({c for _, _, c in brute_groups(own)})
 
 
+def test_a_large_group_of_edited_copies_leaves_one_whole_document(stages, spark, sf_dir):
+    rng, schema = random.Random(6), stages[0][1].schema
+    article = [[f"a{rng.randrange(10**6)}" for _ in range(10)] for _ in range(40)]
+    texts = {}
+    for i in range(40):
+        mine = [list(x) for x in article]
+        for _ in range(2 * (i > 0)):
+            mine[rng.randrange(40)][rng.randrange(10)] = f"e{i}"
+        texts[i] = "\n".join(["menu", *(" ".join(x) for x in mine)])
+    texts |= {i: "\n".join(["menu", *(" ".join(f"b{rng.randrange(10**6)}" for _ in range(10)) for _ in range(5))]) for i in range(40, 60)}
+    out = pipeline.line_dedup(spark, spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], schema), sf_dir)
+    out = pipeline.near_dedup(spark, kept(out, "whole"), sf_dir)
+    assert {r.doc_id: r.text for r in out.collect()} == {i: texts[i].removeprefix("menu\n") for i in (0, *range(40, 60))}
+
+
 def test_copies_follow_the_draws(stages):
     _, before, after = stages[3]
     want = Counter(r.doc_id for r in mixing.mix(before).collect())

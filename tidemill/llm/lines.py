@@ -13,34 +13,38 @@ RATIO, LEAST_PAGES = 0.01, 5
 HOSTS, BYTES = 100_000, 64 << 20
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, page: str | None = None) -> DataFrame:
     """(host, line_md5, pages, host_pages) of the lines over the ratio.
 
     A page counts once for a line however often it holds it, and pages with
     the very same text count as one page: copies are the business of exact
-    deduplication.  Counts are combined before they are shuffled.
+    deduplication.  So do pages with the same value in the column `page`, if
+    one is named: near copies of one text; where it is null the text tells.
+    Counts are combined before they are shuffled.
     """
-    pages = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).alias("body")).where("body is not null")
-    pages = pages.withColumn("page", F.unhex(F.md5("body")))
+    same = F.col(page).cast("string") if page else F.lit(None).cast("string")
+    pages = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("host"), F.col(text).alias("body"), same.alias("same")).where("body is not null")
+    pages = pages.withColumn("page", F.unhex(F.md5(F.coalesce(F.concat(F.lit("page "), F.md5("same")), "body")))) if page else pages.withColumn("page", F.unhex(F.md5("body")))
     total = pages.groupBy("host").agg(F.count_distinct("page").alias("host_pages"))
     lines = pages.select("host", "page", F.explode(F.array_distinct(F.split("body", "\n"))).alias("line")).where("line <> ''")
     counts = lines.groupBy("host", F.md5("line").alias("line_md5")).agg(F.count_distinct("page").alias("pages")).where(F.col("pages") >= least_pages)
     return counts.join(total, "host").where(F.col("pages") > ratio * F.col("host_pages"))
 
 
-def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES, page: str | None = None) -> DataFrame:
     """The documents with boilerplate lines taken out of `text`, plus n_lines and n_dropped (int).
 
     Lines end at \\n and are compared exactly; empty lines are never dropped.
     A null host is the host ''.  Null text stays null with 0 lines; a text that
     is all boilerplate becomes empty.  Repeated rows are treated alike, the
-    other columns stay as they are, an empty table stays empty.
+    other columns stay as they are, an empty table stays empty.  Pages with
+    one value in the column `page` count once for a line.
 
     A host has at most (lines per page / ratio) lines over the ratio, so they
     fit one array per host.  That table is broadcast when measured small, and
     joined by host otherwise (adaptive execution splits a hot host).
     """
-    bad = boilerplate(docs, host, text, ratio, least_pages).groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_md5").alias("_bad"))
+    bad = boilerplate(docs, host, text, ratio, least_pages, page).groupBy(F.col("host").alias("_host")).agg(F.collect_set("line_md5").alias("_bad"))
     bad = kept(bad, "boilerplate")
     hosts, lines = bad.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("_bad")), F.lit(0))).first()
     if hosts <= HOSTS and lines * 40 + hosts * 100 <= BYTES:
