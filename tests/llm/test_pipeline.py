@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline as pipeline
-from test_operators import brute_groups
+from test_llm_operators import brute_groups
 from tidemill.llm import bpe, mixing
 from tidemill.llm.common import kept, table
 

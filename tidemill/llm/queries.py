@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm import bpe, chat, exact, html, jaccard, langid, lines, mixing, neighbours, tokenfiles
+from tidemill.llm import align, bpe, chat, exact, html, jaccard, langid, lines, mixing, neighbours, periods, tokenfiles, urls
 from tidemill.llm.common import kept, table
 
 QUERIES: dict = {}
@@ -85,3 +85,20 @@ def _html(spark, sf_dir) -> DataFrame:
 def _neighbours(spark, sf_dir) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+@query("op11_url_trie", urls.ORACLE)
+def _urls(spark, sf_dir) -> DataFrame:
+    rules = spark.createDataFrame(urls.RULES, urls.RULE)
+    return urls.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("op12_pointer_alignment")
+def _align(spark, sf_dir) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query("op13_dyadic_runs")
+def _periods(spark, sf_dir) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", periods.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periods.digests(periods.periodic_runs(docs))
