@@ -123,14 +123,16 @@ class Catcher:
             explain(*known)
         i = 0
         while i < len(start):
-            if keep[i]:
+            some = np.flatnonzero(keep[i : i + 4096])
+            i += int(some[0]) if len(some) else 4096
+            if len(some):
                 s, d = int(start[i]), int(q[i])
                 if np.array_equal(self._ids[s : s + size], self._ids[s + d : s + d + size]):
                     a, b = self._left(s, d), self._right(s, s + d + size, d)
                     self._report(a, b, d)
                     stretches.append((a, b, d))
                     explain(a, b, d)
-            i += 1
+                i += 1
 
     def _left(self, a: int, d: int) -> int:
         """Where the stretch of period d that holds word a begins."""
