@@ -2,6 +2,8 @@
 
 import os
 import struct
+import subprocess
+import sys
 import zlib
 from types import SimpleNamespace
 
@@ -129,15 +131,28 @@ def test_dataset_prunes_partitions(spark, fresh):
 
 def test_scratch_needs_the_setting_on_a_cluster(spark):
     def session(master, **settings):
-        return SimpleNamespace(conf=SimpleNamespace(get=settings.get, set=settings.__setitem__), sparkContext=SimpleNamespace(master=master))
+        """A session like Spark's: the setting is static, so setting it raises."""
+        return SimpleNamespace(conf=SimpleNamespace(get=settings.get), sparkContext=SimpleNamespace(master=master, applicationId=f"{master}-app"))
 
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
     assert scratch_dir(session("yarn", **{"spark.checkpoint.dir": "hdfs:///shared/"}), "x").startswith("hdfs:///shared/x-")
-    assert scratch_dir(session("local[2]"), "x").split("/x-")[0]
+    one, two = (scratch_dir(session("local[2]"), "x").split("/x-") for _ in range(2))
+    assert one[0] == two[0] and one[1] != two[1]
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(session("yarn"), "x")
 
 
+def test_scratch_of_a_local_session_without_the_setting():
+    code = (
+        "from tidemill.session import local_session\nfrom tidemill.plans.scratch import scratch_dir\n"
+        "s = local_session(1, '1g', 1)\nassert s.conf.get('spark.checkpoint.dir', None) is None\n"
+        "p = scratch_dir(s, 'x')\ns.range(3).write.parquet(p)\nassert s.read.parquet(p).count() == 3 and scratch_dir(s, 'x') != p\ns.stop()"
+    )
+    empty = {**os.environ, "SPARK_CONF_DIR": "/nonexistent", "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    done = subprocess.run([sys.executable, "-c", code], env=empty, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+
+
 def test_streamed_counts_equal_batch_counts_and_resume(spark, sf_dir, fresh):
     folder, checkpoint = fresh("events"), fresh("checkpoint")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select(

@@ -92,3 +92,24 @@ def matrix(column) -> np.ndarray:
     if len(lengths) != 1 or lengths[0] is None or values.null_count:
         raise ValueError(f"vectors need one length and no missing values; lengths here: {sorted(lengths, key=str)}, missing values: {values.null_count}")
     return values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), lengths[0])
+
+
+def scrambled(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers mixed so that neighbours share nothing (the finaliser of SplitMix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class RowDraws:
+    """Uniforms of (seed, epoch, row number, layer, unit): the same whichever worker holds the row."""
+
+    def __init__(self, seed: int, epoch: int, rows: np.ndarray):
+        start = scrambled(np.array([seed], dtype=np.int64).view(np.uint64)) + np.uint64(epoch)
+        self._rows = scrambled(scrambled(start) + rows.astype(np.uint64))
+
+    def random(self, shape: tuple[int, int]) -> np.ndarray:
+        """The next layer's uniforms, one per row and unit."""
+        self._rows = scrambled(self._rows + np.uint64(1))
+        units = scrambled(self._rows[:, None] + np.arange(1, shape[1] + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return (units >> np.uint64(11)) * 2.0**-53

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemill.functions.arrays import let, moved
-from tidemill.functions.hashing import digest, uniform_part
+from tidemill.functions.hashing import as_list, digest, uniform_part
 
 RANGES = {"rotation": 20.0, "shift": 0.1, "shear": 0.1, "zoom": 0.2}
 
@@ -20,11 +20,20 @@ def augment_plan(df: DataFrame, key: str, variants: int, ranges: dict | None = N
     With ``split`` given, rows of other splits come out once and unchanged.
     Angles and shear are degrees, shifts are shares of height and width.
     """
-    r = {**RANGES, **(ranges or {})}
     training = F.lit(True) if split is None else F.coalesce(F.col(split) == "train", F.lit(False))
     last = F.when(training, variants - 1).otherwise(0)
     fanned = df.withColumn("variant", F.explode(F.sequence(F.lit(0), last)))
-    drawn = fanned.withColumn("_h1", digest(f"{seed}:geometry", key, "variant")).withColumn("_h2", digest(f"{seed}:zoom", key, "variant"))
+    return with_draws(fanned, key, F.col("variant"), ranges, seed, training)
+
+
+DRAWS = ["angle", "shift_y", "shift_x", "shear", "zoom_y", "zoom_x", "flip_h", "flip_v"]
+
+
+def with_draws(df: DataFrame, key, variant: Column, ranges: dict | None = None, seed=42, training: Column | None = None) -> DataFrame:
+    """One draw of all parameters per row, from (seed, key, variant); rows that are not ``training`` get those that change nothing."""
+    r, keys = {**RANGES, **(ranges or {})}, as_list(key)
+    training = F.lit(True) if training is None else training
+    drawn = df.withColumn("_h1", digest(f"{seed}:geometry", *keys, variant)).withColumn("_h2", digest(f"{seed}:zoom", *keys, variant))
 
     def around_zero(column: str, part: int, span: float) -> Column:
         return F.when(training, (uniform_part(F.col(column), part) * 2.0 - 1.0) * span).otherwise(0.0)
@@ -58,6 +67,24 @@ def shift(df: DataFrame, dx, dy, height: int, width: int, col: str = "pixels", o
     return df.withColumn(out or col, F.transform(rows, lambda row: moved(row, dx, width)))
 
 
+def warp_images(images: np.ndarray, draws: dict[str, np.ndarray]) -> np.ndarray:
+    """(n, height, width, channels) images under one draw each: the nearest input pixel of every output pixel, edges repeated."""
+    n, height, width, _ = images.shape
+    rows, cols = np.meshgrid(np.arange(height) - (height - 1) / 2.0, np.arange(width) - (width - 1) / 2.0, indexing="ij")
+    p = {name: draws[name][:, None, None] for name in DRAWS}
+    turn, lean = np.deg2rad(p["angle"]), np.deg2rad(p["shear"])
+    # Right to left: zoom, shear, shift, rotate.
+    y = rows * p["zoom_y"] - np.sin(lean) * cols * p["zoom_x"] + p["shift_y"] * height
+    x = np.cos(lean) * cols * p["zoom_x"] + p["shift_x"] * width
+    src_y = np.cos(turn) * y - np.sin(turn) * x + (height - 1) / 2.0
+    src_x = np.sin(turn) * y + np.cos(turn) * x + (width - 1) / 2.0
+    iy = np.clip(np.floor(src_y + 0.5), 0, height - 1).astype(np.int64)
+    ix = np.clip(np.floor(src_x + 0.5), 0, width - 1).astype(np.int64)
+    warped = images[np.arange(n)[:, None, None], iy, ix]
+    warped = np.where(p["flip_h"][..., None], warped[:, :, ::-1], warped)
+    return np.where(p["flip_v"][..., None], warped[:, ::-1], warped)
+
+
 def affine(df: DataFrame, height: int, width: int, channels: int, col: str = "pixels", out: str | None = None) -> DataFrame:
     """Apply the parameters of ``augment_plan`` to flat channel-last images.
 
@@ -70,30 +97,15 @@ def affine(df: DataFrame, height: int, width: int, channels: int, col: str = "pi
     others = [f.name for f in schema.fields[:-1]]
 
     def warp(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, cols = np.meshgrid(np.arange(height) - (height - 1) / 2.0, np.arange(width) - (width - 1) / 2.0, indexing="ij")
         for batch in batches:
-            p = {n: batch.column(n).to_numpy(zero_copy_only=False)[:, None, None] for n in
-                 ("angle", "shift_y", "shift_x", "shear", "zoom_y", "zoom_x", "flip_h", "flip_v")}
-            turn, lean = np.deg2rad(p["angle"]), np.deg2rad(p["shear"])
-            # Right to left: zoom, shear, shift, rotate.
-            y = rows * p["zoom_y"] - np.sin(lean) * cols * p["zoom_x"] + p["shift_y"] * height
-            x = np.cos(lean) * cols * p["zoom_x"] + p["shift_x"] * width
-            src_y = np.cos(turn) * y - np.sin(turn) * x + (height - 1) / 2.0
-            src_x = np.sin(turn) * y + np.cos(turn) * x + (width - 1) / 2.0
-            iy = np.clip(np.floor(src_y + 0.5), 0, height - 1).astype(np.int64)
-            ix = np.clip(np.floor(src_x + 0.5), 0, width - 1).astype(np.int64)
             size = height * width * channels
             lengths = batch.column(col).value_lengths()
             present = lengths.is_valid().to_numpy(zero_copy_only=False)
             if set(lengths.drop_null().to_pylist()) - {size}:
                 raise ValueError(f"an image is not {height} x {width} x {channels}")
-            y_of, x_of = iy[present], ix[present]
-            turned = {c: p[c][present] for c in ("flip_h", "flip_v")}
             n = int(present.sum())
             images = batch.column(col).flatten().to_numpy(zero_copy_only=False).reshape(n, height, width, channels)
-            warped = images[np.arange(n)[:, None, None], y_of, x_of]
-            warped = np.where(turned["flip_h"][..., None], warped[:, :, ::-1], warped)
-            warped = np.where(turned["flip_v"][..., None], warped[:, ::-1], warped)
+            warped = warp_images(images, {d: batch.column(d).to_numpy(zero_copy_only=False)[present] for d in DRAWS})
             offsets = pa.array(np.r_[0, np.cumsum(present)].astype(np.int32) * size)
             pixels = pa.ListArray.from_arrays(offsets, pa.array(warped.astype(np.float32).ravel()), mask=pa.array(~present))
             yield pa.RecordBatch.from_arrays([*[batch.column(o) for o in others], pixels], names=schema.names)

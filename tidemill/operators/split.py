@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.hashing import as_list, uniform_below
 from tidemill.plans.lookup import small_join
+from tidemill.plans.permute import Permutation
 from tidemill.plans.ranking import first_cut, group_cut, hash_cut, hash_row_number
 
 #: A top-k sends so many rows of every task to one task; beyond, a cut value is found first.
@@ -64,6 +65,25 @@ def shuffle_epoch(df: DataFrame, key, seed, epoch: int, out: str = "position") -
     return hash_row_number(df, key, f"{seed}:{epoch}", out)
 
 
+def epoch_order(ranked: DataFrame, n: int, seed, epoch: int, rank: str = "rank", out: str = "position") -> DataFrame:
+    """Another sample order of rows that ``global_row_number`` ranked once: 1..n, a new permutation per (seed, epoch).
+
+    A projection: further epochs shuffle nothing.  ``n`` is the number of
+    ranks; keep the ranked table, or every epoch ranks again.
+    """
+    zero = ranked.withColumn("_zero", F.col(rank) - 1)
+    return Permutation(n, f"{seed}:{epoch}").apply(zero, "_zero", out).withColumn(out, F.col(out) + 1).drop("_zero")
+
+
+def epoch_batches(ranked: DataFrame, n: int, size: int, seed=42, epoch: int = 0, rank: str = "rank", drop_remainder: bool = True) -> DataFrame:
+    """``batch_id`` and ``pos`` of ranked rows in an epoch's order: ``assign_batches`` without its shuffle."""
+    placed = epoch_order(ranked, n, seed, epoch, rank, "_place").withColumn("_place", F.col("_place") - 1)
+    if drop_remainder:
+        placed = placed.where(F.col("_place") < n // size * size)
+    batch_id = F.call_function("div", F.col("_place"), F.lit(size).cast("long"))
+    return placed.withColumns({"batch_id": batch_id, "pos": (F.col("_place") % size).cast("int")}).drop("_place")
+
+
 def assign_batches(df: DataFrame, key, size: int, seed=42, epoch: int = 0, drop_remainder: bool = True) -> DataFrame:
     """``batch_id`` and ``pos`` of every sample; the incomplete last batch is left out by default."""
     ranked = shuffle_epoch(df, key, seed, epoch, "_rank")

@@ -57,6 +57,23 @@ def hash_row_number(df: DataFrame, key, seed=0, out: str = "rank") -> DataFrame:
     return ranked.withColumn(out, (F.col("_start") + F.col("_r")).cast("long")).drop("_h", "_b", "_r", "_start")
 
 
+def dealt_ranks(df: DataFrame, key, parts: int, counted: Column, seed=0, out: str = "rank") -> DataFrame:
+    """Ranks 0..n-1 of the ``counted`` rows in digest order, the data dealt over ``parts`` partitions by the same shuffle.
+
+    Rows that are not counted are dealt, too; their rank says nothing.
+    """
+    keys = as_list(key)
+    digits = next((d for d in range(2, 5) if 16**d >= 64 * parts), 5)
+    hashed = df.withColumn("_counted", counted).withColumn("_h", digest(seed, *keys)).withColumn("_b", F.substring("_h", 1, digits))
+    starts = (  # at most 16^digits rows
+        hashed.where("_counted").groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_b", F.coalesce(F.sum("_n").over(_before(order="_b")), F.lit(0)).alias("_start"))
+    )
+    inside = Window.partitionBy("_b", "_counted").orderBy("_h", *keys)
+    ranked = hashed.repartition(parts, "_b").withColumn("_r", F.row_number().over(inside)).join(F.broadcast(starts), "_b", "left")
+    return ranked.withColumn(out, (F.coalesce("_start", F.lit(0)) + F.col("_r") - 1).cast("long")).drop("_h", "_b", "_r", "_start", "_counted")
+
+
 def hash_cut(df: DataFrame, key, fraction: float, seed=0, out: str = "is_test") -> DataFrame:
     """Flag exactly ceil(n * fraction) rows: the first ones in digest order.
 

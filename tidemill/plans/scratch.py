@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Fallback folders of local sessions by application; the setting itself can't be changed in a running session.
+_LOCAL: dict[str, str] = {}
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -18,6 +20,6 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="tidemill-")
-        spark.conf.set(SETTING, base)
+        app = spark.sparkContext.applicationId
+        base = _LOCAL.get(app) or _LOCAL.setdefault(app, tempfile.mkdtemp(prefix="tidemill-"))
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
