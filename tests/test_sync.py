@@ -99,6 +99,11 @@ def test_any_number_of_workers_equals_the_replay(spark, target, widths, loss, ru
         assert (rows[0].val_accuracy is None) == (loss == "mse")
 
 
+def test_gathers_of_the_barrier_give_the_same(spark):
+    a, b = (fit_synchronous(points(spark, 20), "id", "x", "y", [2], "mse", 1, batch=16, workers=2, exchange=e)[0] for e in ("folder", "barrier"))
+    assert np.array_equal(a.weights, b.weights)
+
+
 def test_saved_in_the_middle_and_resumed_is_the_same_fit(spark, fresh):
     df, options = points(spark), dict(outputs=3, batch=20, dropout=0.2, workers=2, split="split")
     whole, history = fit_synchronous(df, "id", "x", "c", [6], "sparse_ce", 3, **options)

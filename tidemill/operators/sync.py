@@ -1,18 +1,23 @@
 """Mini-batch training in which all workers take the same step.
 
 One global order of batches per epoch, as a single machine would go through
-them.  Every worker adds up the gradient of its own rows of a batch, the sums
-are gathered across a barrier, and each worker makes the same update, so the
-result does not depend on how many there are.
+them.  Every worker adds up the gradient of its own rows of a batch, all workers
+exchange their sums, and each makes the same update, so the result does not
+depend on how many there are.  A barrier stage starts the workers together; its
+own gather takes a second each time, so the sums go through small files in the
+shared scratch folder, and by the gather only where workers can't open it.
 """
 
 import base64
 import hashlib
+import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
 from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +29,7 @@ from tidemill.operators.augment import DRAWS, warp_images, with_draws
 from tidemill.operators.train import LOSS_OUTPUT, FitState, _history
 from tidemill.plans.permute import Permutation
 from tidemill.plans.ranking import dealt_ranks
+from tidemill.plans.scratch import scratch_dir
 
 METRICS = ["n", "loss", "correct", "val_n", "val_loss", "val_correct"]
 RESULT = f"worker int, {', '.join(f'{m} double' for m in METRICS)}, digest string, params array<double>"
@@ -83,12 +89,68 @@ class _Rows:
             yield held[1:]
 
 
+class FolderExchange:
+    """All-gather by files: each worker writes its sums under the step's number and waits for the others'.
+
+    A worker that has all sums of a step knows that all have read those of the
+    step before, and removes its own.  A repeated stage has a folder of its own.
+    """
+
+    LONGEST_WAIT = 0.02
+
+    def __init__(self, folder: str, context: BarrierTaskContext):
+        self.files, base = file_system(folder)
+        # The first worker's word, so a repeated stage agrees on a new folder.
+        self.base = f"{base}/{context.allGather(uuid.uuid4().hex)[0]}"
+        self.worker, self.workers, self.step = context.partitionId(), len(context.getTaskInfos()), 0
+        self.files.create_dir(self.base, recursive=True)
+
+    def gather(self, sums: np.ndarray) -> list[np.ndarray]:
+        name, self.step = f"{self.base}/{self.step}", self.step + 1
+        with self.files.open_output_stream(f"{name}-{self.worker}.part") as out:
+            out.write(sums.tobytes())
+        self.files.move(f"{name}-{self.worker}.part", f"{name}-{self.worker}")
+        found = [sums if other == self.worker else self._wait(f"{name}-{other}") for other in range(self.workers)]
+        if self.step > 1:
+            self.files.delete_file(f"{self.base}/{self.step - 2}-{self.worker}")
+        return found
+
+    def _wait(self, name: str) -> np.ndarray:
+        pause = 0.0002
+        while True:
+            try:
+                with self.files.open_input_file(name) as f:
+                    return np.frombuffer(f.read())
+            except FileNotFoundError:  # a failed worker ends the whole stage, and this wait with it
+                time.sleep(pause)
+                pause = min(2 * pause, self.LONGEST_WAIT)
+
+
+class BarrierExchange:
+    """All-gather by the barrier's own means, a second per step."""
+
+    def __init__(self, context: BarrierTaskContext):
+        self.context = context
+
+    def gather(self, sums: np.ndarray) -> list[np.ndarray]:
+        return [np.frombuffer(base64.b64decode(m)) for m in self.context.allGather(base64.b64encode(sums.tobytes()).decode())]
+
+
+def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path or URI as Spark writes them, and the path in it."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
+    if "://" in path:
+        return pyarrow.fs.FileSystem.from_uri(path)
+    return pyarrow.fs.LocalFileSystem(), path
+
+
 def fit_synchronous(
     df: DataFrame, key, features, target: str, hidden: list[int], loss: str, epochs: int, outputs: int = 1,
     optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, workers: int | None = None,
     split: str | None = None, validation: str = "validation", initial: FitState | None = None,
     schedule: Callable[[int, float], float] | None = None, drop_remainder: bool = False, augment: Augmentation | None = None,
-    report: Callable[[DataFrame], None] | None = None,
+    report: Callable[[DataFrame], None] | None = None, exchange: str = "folder",
 ) -> tuple[FitState, DataFrame]:
     """A fully connected network, or with no hidden layer a logistic or linear unit, by synchronous mini-batches.
 
@@ -97,8 +159,9 @@ def fit_synchronous(
     an epoch's order is a keyed permutation of the ranks, and a worker sorts
     its own rows by it, on disk if need be.  A step waits for all workers, so
     they must run at the same time: ``workers`` may not exceed the task slots.
-    Gradients pass the driver once per step and worker.  A lost worker repeats
-    the epoch from its first weights, as do all others.
+    ``exchange`` is 'folder' (below ``spark.checkpoint.dir``, which workers must
+    be able to open) or 'barrier'.  A lost worker makes all repeat the epoch
+    from its first weights.
 
     ``batch`` is the size over all workers; the last batch of an epoch may be
     smaller, or is left out with ``drop_remainder``.  Dropout and
@@ -118,6 +181,7 @@ def fit_synchronous(
     rows = df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], side.alias("_val"), vector.alias("_x"), F.col(target).cast("double").alias("_y"))
     rows = rows.where(F.col("_x").isNotNull() & F.col("_y").isNotNull() & ~F.exists("_x", lambda v: v.isNull()))
     names = [f"_key{i}" for i in range(len(keys))]
+    folder = scratch_dir(spark, "gradients") if exchange == "folder" else None
     data = dealt_ranks(rows, names, workers, ~F.col("_val"), seed, "_rank").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = data.agg(F.count_if(~F.col("_val")).alias("n"), F.max(F.size("_x")).alias("width")).first()
@@ -136,16 +200,20 @@ def fit_synchronous(
                 columns += DRAWS
             # Validation rows have no place in the order and come last.
             ordered = placed.sortWithinPartitions(F.asc_nulls_last("_pos")).select(*columns).withColumn("_pos", F.coalesce("_pos", F.lit(total.n)))
-            state, row = _epoch(ordered, state, rule, rate, epoch, total.n, batch, dropout, seed, drop_remainder, bool(split), augment)
+            state, row = _epoch(ordered, state, rule, rate, epoch, total.n, batch, dropout, seed, drop_remainder, bool(split), augment, folder)
             history.append(row)
             if report:
                 report(_history(spark, [row]))
     finally:
         data.unpersist()
+        if folder:
+            files, path = file_system(folder)
+            if files.get_file_info(path).type == pyarrow.fs.FileType.Directory:
+                files.delete_dir(path)
     return state, _history(spark, history)
 
 
-def _epoch(ordered: DataFrame, state: FitState, rule, rate: float, epoch: int, n: int, batch: int, dropout: float, seed: int, drop_remainder: bool, judged: bool, images) -> tuple[FitState, tuple]:
+def _epoch(ordered: DataFrame, state: FitState, rule, rate: float, epoch: int, n: int, batch: int, dropout: float, seed: int, drop_remainder: bool, judged: bool, images, folder: str | None) -> tuple[FitState, tuple]:
     """One barrier job: the new state and the history row."""
     steps = n // batch if drop_remainder else -(-n // batch)
     start_w, start_slots, start_step, widths, output = state.weights, state.slots, state.step, state.widths, state.output
@@ -153,6 +221,7 @@ def _epoch(ordered: DataFrame, state: FitState, rule, rate: float, epoch: int, n
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = BarrierTaskContext.get()
         worker, rows, w, slots = context.partitionId(), _Rows(batches, images), start_w, start_slots
+        exchange = FolderExchange(folder, context) if folder else BarrierExchange(context)
         done = dict.fromkeys(METRICS, 0.0)
         for step in range(steps):
             own = rows.before(min(n, (step + 1) * batch))
@@ -161,9 +230,8 @@ def _epoch(ordered: DataFrame, state: FitState, rule, rate: float, epoch: int, n
                 rank, x, y = own
                 g, part, right = dense.gradient(w, widths, x, y, output, dropout, dense.RowDraws(seed, epoch, rank))
                 sums = np.concatenate([[len(y), part, right], g * len(y)])
-            gathered = context.allGather(base64.b64encode(sums.tobytes()).decode())
             # Added in worker order, so every worker gets the very same sum.
-            added = sum(np.frombuffer(base64.b64decode(m)) for m in gathered)
+            added = sum(exchange.gather(sums))
             done["n"], done["loss"], done["correct"] = done["n"] + added[0], done["loss"] + added[1], done["correct"] + added[2]
             w, slots = rule.update(w, added[3:] / added[0], slots, start_step + step + 1, rate)
         if judged:

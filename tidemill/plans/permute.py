@@ -13,7 +13,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 PRIME = 2147483647
@@ -87,25 +87,27 @@ class Permutation:
         A NULL rank keeps a NULL position.  Halves are columns of their own, so
         that every round is computed once, in generated code.
         """
-        rows, columns = (F.lit(x).cast("long") for x in self.grid)
-        current = df.withColumn("_cell", F.col(rank).cast("long"))
+        rows, columns = self.grid
+        kept, cell, current = [f"`{c}`" for c in df.columns], f"CAST(`{rank}` AS BIGINT)", df
         for walk in range(self.walks):
-            current = current.withColumns({"_left": _quotient(F.col("_cell"), columns), "_right": F.col("_cell") % columns})
+            # One selection in which every value is named and later ones refer to it.
+            steps = [f"{cell} AS _cell", f"_cell DIV {columns}L AS _l0", f"_cell % {columns}L AS _r0"]
+            left, right = "_l0", "_r0"
             for turn in range(ROUNDS):
-                a, b, c, d = (F.lit(x).cast("long") for x in self.constants(turn))
-                moved, by, size = ("_left", "_right", rows) if turn % 2 == 0 else ("_right", "_left", columns)
-                current = current.withColumn("_u", (F.col(by) * a + b) % F.lit(PRIME).cast("long"))
-                current = current.withColumn("_u", (F.col("_u").bitwiseXOR(F.shiftright("_u", 15)) * c + d) % F.lit(PRIME).cast("long"))
-                current = current.withColumn(moved, (F.col(moved) + F.col("_u").bitwiseXOR(F.shiftright("_u", 13))) % size)
-            there = F.col("_left") * columns + F.col("_right")
-            current = current.withColumn("_cell", there if walk == 0 else F.when(F.col("_cell") < self.n, F.col("_cell")).otherwise(there))
+                a, b, c, d = self.constants(turn)
+                moved, by, size = (left, right, rows) if turn % 2 == 0 else (right, left, columns)
+                there = f"{moved[:2]}{turn + 1}"
+                steps += [
+                    f"({by} * {a}L + {b}L) % {PRIME}L AS _u{turn}", f"((_u{turn} ^ shiftright(_u{turn}, 15)) * {c}L + {d}L) % {PRIME}L AS _v{turn}",
+                    f"({moved} + (_v{turn} ^ shiftright(_v{turn}, 13))) % {size}L AS {there}",
+                ]
+                left, right = (there, right) if turn % 2 == 0 else (left, there)
+            out_cell = f"{left} * {columns}L + {right}"
+            steps.append(f"{out_cell if walk == 0 else f'CASE WHEN _cell < {self.n}L THEN _cell ELSE {out_cell} END'} AS _next")
+            current = current.selectExpr(*kept, *steps).selectExpr(*kept, "_next AS _from")
+            cell = "_from"
         # A value the optimizer must not compute elsewhere: else a filter on the
         # position would be pushed below the rounds, which means writing them
         # into one expression that doubles with each.
         fence = F.monotonically_increasing_id() >= 0
-        return current.withColumn(out, F.when(fence, F.col("_cell"))).drop("_left", "_right", "_u", "_cell")
-
-
-def _quotient(value: Column, by: Column) -> Column:
-    """Whole-number division of non-negative values, exact beyond 2^53."""
-    return F.call_function("div", value, by)
+        return current.select(*[c for c in df.columns if c != out], F.when(fence, F.col("_from")).alias(out))
