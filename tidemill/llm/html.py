@@ -18,7 +18,8 @@ CONSTANT, LEAST_PAGES = 0.6, 5
 #: Hosts up to which their templates are sent to every executor.
 HOSTS = 20_000
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|["'])*?)>|([^<]+|<)""", re.S)
+# One way to read a quote, without going back: an unclosed tag costs no more than its length, and the end of the page closes it.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|([^<]+|<)""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -279,12 +280,16 @@ def content(shape: str, nodes: list[int], texts: list[str], links: list[int], re
     return "\n\n".join(t for n, t in left if not marked or inside[n] >= 0)
 
 
-def digest(text: str) -> str:
-    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+def digest(text: str) -> int:
+    """64 bits; digests are only compared within a host."""
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
 def parsed(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
-    """(page_id, url, host, shape, nodes, texts, links, page): every page read once; `page` names its text."""
+    """(page_id, url, host, shape, nodes, texts, links, page): every page read once; `page` names its text.
+
+    Blocks apart from the main text are never part of it and left out here.
+    """
     id_type = dict(pages.dtypes)[key]
 
     def run(batches):
@@ -292,18 +297,20 @@ def parsed(pages: DataFrame, key: str, url: str, body: str) -> DataFrame:
             cols = [[], [], [], [], []]
             for page in batch.column(3).to_pylist():
                 shape, nodes, texts, links = parse(page or "")
-                for c, x in zip(cols, (shape, nodes, texts, links, digest("\n".join(texts))), strict=True):
+                name, apart = digest("\n".join(texts)), places(shape)[0]
+                blocks = [b for b in zip(nodes, texts, links, strict=True) if not apart[b[0]]]
+                for c, x in zip(cols, (shape, *([b[i] for b in blocks] for i in range(3)), name), strict=True):
                     c.append(x)
-            kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.string())
+            kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()), pa.list_(pa.int32()), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, t) for c, t in zip(cols, kinds, strict=True)]], names=["page_id", "url", "host", "shape", "nodes", "texts", "links", "page"])
 
     host = F.lower(F.coalesce(F.regexp_extract(F.col(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
     rows = pages.select(F.col(key).alias("page_id"), F.col(url).alias("url"), host.alias("host"), F.col(body).alias("html"))
-    return rows.mapInArrow(run, f"page_id {id_type}, url string, host string, shape string, nodes array<int>, texts array<string>, links array<int>, page string")
+    return rows.mapInArrow(run, f"page_id {id_type}, url string, host string, shape string, nodes array<int>, texts array<string>, links array<int>, page long")
 
 
 def wrappers(pages: DataFrame, constant: float = CONSTANT, least: int = LEAST_PAGES) -> DataFrame:
-    """(host, reference, template): the tree pages of a host are aligned to, and its constant texts as "node:digest".
+    """(host, reference, template): the tree pages of a host are aligned to, and its constant texts as (node, text digest).
 
     Every page of the host counts, pages with the very same text once; the
     counts are combined before the shuffle, a host of a third of all pages
@@ -314,20 +321,21 @@ def wrappers(pages: DataFrame, constant: float = CONSTANT, least: int = LEAST_PA
 
     def run(batches):
         for batch in batches:
-            hosts, slots, page = [], [], []
+            hosts, at, name, page = [], [], [], []
             for h, shape, ref, nodes, texts, p in zip(*[batch.column(i).to_pylist() for i in range(6)], strict=True):
                 match = align(shape, ref)
-                for s in {f"{match[n]}:{digest(t)}" for n, t in zip(nodes, texts, strict=True) if match[n] >= 0}:
+                for n, d in {(match[n], digest(t)) for n, t in zip(nodes, texts, strict=True) if match[n] >= 0}:
                     hosts.append(h)
-                    slots.append(s)
+                    at.append(n)
+                    name.append(d)
                     page.append(p)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(slots, pa.string()), pa.array(page, pa.string())], names=["host", "slot", "page"])
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(at, pa.int32()), pa.array(name, pa.int64()), pa.array(page, pa.int64())], names=["host", "node", "name", "page"])
 
     big = narrow(refs.where(F.col("pages") >= least), HOSTS)
     held = pages.join(big, F.col("host") == F.col("_host")).select("host", "shape", "reference", "nodes", "texts", "page")
-    slots = held.mapInArrow(run, "host string, slot string, page string").groupBy("host", "slot").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= least)
+    slots = held.mapInArrow(run, "host string, node int, name long, page long").groupBy("host", "node", "name").agg(F.count_distinct("page").alias("n")).where(F.col("n") >= least)
     found = slots.join(big, F.col("host") == F.col("_host")).where(F.col("n") >= constant * F.col("pages"))
-    templates = found.groupBy(F.col("host").alias("h")).agg(F.collect_list("slot").alias("template"))
+    templates = found.groupBy(F.col("host").alias("h")).agg(F.collect_list(F.struct("node", "name")).alias("template"))
     return refs.join(templates, F.col("_host") == F.col("h"), "left").select("_host", "reference", "template")
 
 
@@ -348,7 +356,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", body: str
         for batch in batches:
             out = []
             for shape, nodes, texts, links, ref, template in zip(*[batch.column(i).to_pylist() for i in range(2, 8)], strict=True):
-                fixed = {(int(n), d) for n, d in (s.split(":") for s in template or ())}
+                fixed = {(s["node"], s["name"]) for s in template or ()}
                 out.append(content(shape, nodes, texts, links, ref, fixed))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
