@@ -29,8 +29,14 @@ class Vocabulary:
         self.bytes = {r: t for t, r in self.rank.items()}
         self.size = {r: len(t) for r, t in self.bytes.items()}
         self.packed = {r: np.array([r], dtype="<u4").tobytes() for r in self.bytes}
-        self.longest = max(self.size.values())
-        self._fits: dict[tuple[int, int], bool] = {}
+        # Tokens by their bytes: a node leads from a byte to the next, and from -1 to the token that ends there.
+        self.root: dict = {}
+        for token, data in self.bytes.items():
+            node = self.root
+            for byte in data:
+                node = node.setdefault(byte, {})
+            node[-1] = token
+        self._fits: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
 
     def merged(self, piece: bytes, least: int = 1) -> list[int]:
@@ -57,11 +63,11 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both gives just these two tokens; left is -1 at the beginning of a piece."""
-        known = self._fits.get((left, right))
+        known = self._fits.get(left << 32 | right)
         if known is None:
             if len(self._fits) >= REMEMBERED:
                 self._fits.clear()
-            known = self._fits[left, right] = self.reachable(right) and (left < 0 or (self.reachable(left) and self._stay_apart(left, right)))
+            known = self._fits[left << 32 | right] = self.reachable(right) and (left < 0 or (self.reachable(left) and self._stay_apart(left, right)))
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -96,24 +102,38 @@ class Prefixes:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
+        #: For each prefix, where tokens may have begun that go on behind it, and the nodes reached.
+        self.open: list[list[tuple[int, dict]]] = [[]]
 
     def append(self, more: bytes) -> Prefixes:
-        v, start = self.vocabulary, len(self.data)
+        v, end = self.vocabulary, len(self.data)
         self.data += more
-        data, last, rank, known, longest = self.data, self.last, v.rank.get, v._fits.get, v.longest
-        for end in range(start + 1, len(data) + 1):
-            for at in range(end - longest if end > longest else 0, end):
-                token = rank(data[at:end])
-                if token is not None:
-                    fits = known((last[at], token))
-                    if fits or (fits is None and v.fits(last[at], token)):
-                        last.append(token)
-                        break
+        last, opened, root, known = self.last, self.open, v.root, v._fits.get
+        now = opened[-1]
+        for byte in more:
+            grown, found = [], None
+            for at, begun in now:
+                node = begun.get(byte)
+                if node is not None:
+                    grown.append((at, node))
+                    if found is None and -1 in node:
+                        token = node[-1]
+                        fits = known(last[at] << 32 | token)
+                        if fits or (fits is None and v.fits(last[at], token)):
+                            found = token
+            node = root[byte]
+            grown.append((end, node))
+            if found is None:  # one token fits, so the byte's own does
+                found = node[-1]
+            last.append(found)
+            opened.append(grown)
+            now = grown
+            end += 1
         return self
 
     def cut(self, length: int) -> Prefixes:
         self.data = self.data[:length]
-        del self.last[length + 1 :]
+        del self.last[length + 1 :], self.open[length + 1 :]
         return self
 
     def become(self, data: bytes) -> Prefixes:
