@@ -30,16 +30,19 @@ def flat_files(docs: DataFrame, key: str = "doc_id", text: str = "text", path: s
 
     def run(batches):
         enc, name = encoder(path), f"part-{TaskContext.get().partitionId():06d}"
-        end, rest, number, parts = np.array([END], f"<u{WIDTH}").tobytes(), bytearray(), 0, 0
+        end, rest, number, parts = np.array([END], "<u4").tobytes(), bytearray(), 0, 0
 
         def row(n, payload, keys):
             return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()), pa.array([payload], pa.binary()), keys], names=["file", "block", "payload", "keys"])
 
         none = None
+        largest = max(enc.vocabulary.bytes)
+        if END in enc.vocabulary.bytes or max(largest, END) >= 1 << 8 * WIDTH:
+            raise ValueError(f"ids up to {largest} and the separator {END} need {WIDTH} bytes and an id of its own")
         for batch in batches:
             for rows in slices(batch):
-                for ids in enc.encode_all([t or "" for t in rows.column(1).to_pylist()]):
-                    rest += np.frombuffer(ids, "<u4").astype(f"<u{WIDTH}").tobytes() + end
+                ids = np.frombuffer(b"".join([x + end for x in enc.encode_all([t or "" for t in rows.column(1).to_pylist()])]), "<u4")
+                rest += ids.astype(f"<u{WIDTH}").tobytes()
                 parts += 1
                 if none is None:
                     none = pa.array([None], pa.list_(rows.column(0).type))
