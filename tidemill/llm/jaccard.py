@@ -164,7 +164,10 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", words:
     named = classes.join(labels, F.col("d1") == F.col("id"), "left").select("d1", "d2", "n", "first_id", "class_size", F.when(F.col("suspect"), F.col("component")).alias("component"))
     named = kept(named, "named")
     least = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first_id").alias("least_id"))
-    named = named.join(least, "component", "left").select("d1", "d2", F.coalesce("least_id", "first_id").alias("component_id"), F.col("first_id").alias("class_id"), "class_size")
+    # Classes without partner, nearly all, take no part in the join: their missing component would be one key.
+    grouped = named.where("component IS NOT NULL").join(least, "component").select("d1", "d2", F.col("least_id").alias("component_id"), F.col("first_id").alias("class_id"), "class_size")
+    single = named.where("component IS NULL").select("d1", "d2", F.col("first_id").alias("component_id"), F.col("first_id").alias("class_id"), "class_size")
+    named = grouped.unionAll(single)
     out = rows.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2").join(named, ["d1", "d2"])
     empty = F.col("n_shingles") == 0
     return out.select("doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.when(empty, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"))
