@@ -381,3 +381,25 @@ def test_tree_matching_is_the_largest():
     a, b = "r(x(p),y,z(q,p))", "r(y,x(p,q),z(p))"
     got = html.align(a, b)
     assert sum(m >= 0 for m in got) == 5 and got[0] == 0
+
+
+def test_a_page_cut_inside_a_tag_is_read_in_time_of_its_length():
+    cut = ["<p>kept</p><a " + '"' * 61, "<p>kept</p><img " + " ".join(f'a{i}="x y"' for i in range(60)), "<p>kept</p><a b='", "<p>kept</p>" + '<a "' * 20001]
+    for page in cut:
+        shape, nodes, texts, links = html.parse(page)
+        assert texts == ["kept"]
+
+
+def test_every_letter_of_a_text_without_gaps_counts():
+    word = "a" * 40 + "b" * 40 + "c" * 40
+    assert "".join(langid.WORD.findall(word)) == word and max(map(len, langid.WORD.findall(word))) == langid.LETTERS
+
+
+def test_a_vocabulary_that_does_not_fit_is_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="an id of its own"):
+        path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+        lines = open(path, "rb").read().splitlines()
+        other = str(tmp_path / "more.tiktoken")
+        with open(other, "wb") as f:
+            f.write(b"\n".join([*lines, base64.b64encode(b"\xff\xfe\xfd\xfc") + b" 50256"]))
+        tokenfiles.flat_files(docs(spark, [(1, "x")]), path=other).collect()

@@ -3,25 +3,25 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemill.llm.shingles import slices
 
 #: Bound of the training sample: documents per language (lowest hashes), segments of one document, words of a segment.
 DOCS, SEGMENTS, WORDS = 400, 4, 20
-#: Hashed features, and letters of a word that count (of a longer word the first and last halves).
+#: Hashed features, and letters of a word; a longer stretch of letters is several words in a row.
 BUCKETS, LETTERS = 1 << 17, 30
 EPOCHS, STEP, PENALTY = 30, 0.3, 1e-5
 #: Words of one chain when labelling; a longer text is a sequence of chains.
 CHAIN = 128
 REMEMBERED = 150_000
-WORD = re.compile(r"[^\W\d_]+")
+WORD = re.compile(rf"[^\W\d_]{{1,{LETTERS}}}")
 
 
 @dataclass
@@ -34,8 +34,7 @@ class Model:
 
 def features(words: list[str]) -> np.ndarray:
     """(words, features) bucket numbers: the word itself, affixes up to 4 letters, inner 2- and 3-grams with word edges; -1 where there is none."""
-    short = [w if len(w) <= LETTERS else w[: LETTERS // 2] + w[-LETTERS // 2 :] for w in words]
-    grid = np.array([f"\x02{w}\x03" for w in short], dtype=f"U{LETTERS + 2}")
+    grid = np.array([f"\x02{w}\x03" for w in words], dtype=f"U{LETTERS + 2}")
     code = grid.view(np.uint32).reshape(len(words), LETTERS + 2).astype(np.uint64)
     size = (code > 0).sum(axis=1)
     at = np.arange(LETTERS + 2)
@@ -206,6 +205,7 @@ class Labeller:
             out[place[live]] = post[live]
         return split, out
 
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents with lang_pred, score and n_words behind their columns (columns of these names are replaced).
 
@@ -216,31 +216,33 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     repeated rows and null identifiers need no rule.
     """
     added = ["lang_pred", "score", "n_words"]
-    docs = docs.drop(*added)
-    place = docs.columns.index(text)
+    sort = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("n_words", pa.int64())])
 
-    def run(batches):
-        yield from _labelled(batches, place, Labeller(model), added)
-
-    schema = T.StructType(list(docs.schema.fields)).add("lang_pred", "string").add("score", "double").add("n_words", "long")
-    return docs.mapInArrow(run, schema)
-
-
-def _labelled(batches, place: int, labeller: Labeller, added: list[str]):
-    for batch in batches:
-        lang, score, n = [], [], []
-        for rows in slices(batch, place):
-            split, post = labeller.words([t or "" for t in rows.column(place).to_pylist()])
-            at = 0
-            for words in split:
-                share = post[at : at + len(words)].sum(axis=0) / max(1, len(words))
-                at += len(words)
-                best = int(share.argmax()) if len(share) else 0
-                known = len(share) and any(c.isalpha() for w in words for c in w)
-                lang.append(labeller.model.labels[best] if known else "und")
-                score.append(min(1.0, float(share[best])) if known else 0.0)
-                n.append(len(words))
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())], names=[*batch.schema.names, *added])
+    # Only the text enters Python, and no text comes back.
+    @F.arrow_udf("struct<lang_pred:string,score:double,n_words:long>")
+    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        labeller = Labeller(model)
+        for part in parts:
+            yield pa.StructArray.from_arrays(_labelled(part, labeller), fields=list(sort))
+
+    found = docs.drop(*added).withColumn("_found", judge(F.col(text).cast("string")))
+    return found.select("*", *[F.col(f"_found.{c}") for c in added]).drop("_found")
+
+
+def _labelled(texts: pa.Array, labeller: Labeller) -> list[pa.Array]:
+    lang, score, n = [], [], []
+    for rows in slices(pa.RecordBatch.from_arrays([texts], names=["text"]), 0):
+        split, post = labeller.words([t or "" for t in rows.column(0).to_pylist()])
+        at = 0
+        for words in split:
+            share = post[at : at + len(words)].sum(axis=0) / max(1, len(words))
+            at += len(words)
+            best = int(share.argmax()) if len(share) else 0
+            known = len(share) and any(c.isalpha() for w in words for c in w)
+            lang.append(labeller.model.labels[best] if known else "und")
+            score.append(min(1.0, float(share[best])) if known else 0.0)
+            n.append(len(words))
+    return [pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(n, pa.int64())]
 
 
 def runs(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
