@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +25,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Rows of an Arrow batch at most, for the jobs run inside: what a Python worker has in hand of long texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def narrow(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a side of few, short rows for broadcast after counting it; a larger one is left to a shuffle join.
 
