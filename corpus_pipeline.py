@@ -11,12 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm import bpe, jaccard, langid, lines, mixing
-from tidemill.llm.common import kept, narrow, table
+from tidemill.llm.common import arrow_rows, kept, narrow, table
 
 #: Below this share of words in its likeliest language a text is in none of them (four languages: chance is 0.25).
 LEAST_SHARE = 0.3
 #: Near copies: words of a shingle, and the percentage of shingles that linked documents share.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+#: Documents sent to a Python worker at a time: its memory stays with it from stage to stage.
+BATCH_ROWS = 1000
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,6 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = kept(stage(spark, docs, sf_dir), name)
+    with arrow_rows(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = kept(stage(spark, docs, sf_dir), name)
     return docs
