@@ -17,7 +17,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import BarrierTaskContext, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +29,7 @@ from tidemill.operators.train import LOSS_OUTPUT, FitState, _history
 from tidemill.plans.permute import Permutation
 from tidemill.plans.ranking import dealt_ranks
 from tidemill.plans.scratch import scratch_dir
+from tidemill.plans.shared import file_system, remove_folder
 
 METRICS = ["n", "loss", "correct", "val_n", "val_loss", "val_correct"]
 RESULT = f"worker int, {', '.join(f'{m} double' for m in METRICS)}, digest string, params array<double>"
@@ -136,15 +136,6 @@ class BarrierExchange:
         return [np.frombuffer(base64.b64decode(m)) for m in self.context.allGather(base64.b64encode(sums.tobytes()).decode())]
 
 
-def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """The file system of a path or URI as Spark writes them, and the path in it."""
-    if path.startswith("file:"):
-        return pyarrow.fs.LocalFileSystem(), "/" + path[5:].lstrip("/")
-    if "://" in path:
-        return pyarrow.fs.FileSystem.from_uri(path)
-    return pyarrow.fs.LocalFileSystem(), path
-
-
 def fit_synchronous(
     df: DataFrame, key, features, target: str, hidden: list[int], loss: str, epochs: int, outputs: int = 1,
     optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, workers: int | None = None,
@@ -208,8 +199,7 @@ def fit_synchronous(
         data.unpersist()
         if folder:
             files, path = file_system(folder)
-            if files.get_file_info(path).type == pyarrow.fs.FileType.Directory:
-                files.delete_dir(path)
+            remove_folder(files, path)
     return state, _history(spark, history)
 
 

@@ -3,8 +3,9 @@ from pyspark.sql import functions as F
 from tidemill.operators.curate import attach_names
 from tidemill.plans.scratch import scratch_dir
 from tidemill.queries.registry import query, rounded, sql_round, sql_u32, table
-from tidemill.sources.files import read_numeric_csv, with_path_labels, with_shape_check
-from tidemill.sources.sinks import read_dataset, write_dataset
+from tidemill.sources import arrays
+from tidemill.sources.files import read_images, read_numeric_csv, with_path_labels, with_shape_check
+from tidemill.sources.sinks import read_dataset, write_dataset, write_images
 from tidemill.sources.synthetic import grid, sample_points
 from tidemill.operators.split import hash_split
 from tidemill.queries.registry import sql_split
@@ -94,3 +95,43 @@ def dataset_roundtrip(spark, sf_dir):
     write_dataset(hash_split(documents, "doc_id", 0.2), path)
     english = read_dataset(spark, path).where(F.col("label") == "en")
     return english.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
+
+
+@query("array_files", """
+    SELECT vec_id, label::INT AS label, len(embedding)::INT AS size, embedding[1]::DOUBLE AS first, embedding[64]::DOUBLE AS last
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL""")
+def array_files(spark, sf_dir):
+    """Vectors and labels written as array files by the tasks, and read back in byte ranges."""
+    path = scratch_dir(spark, "array-files")
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    arrays.write_array_files(vectors.where("label IS NOT NULL AND embedding IS NOT NULL").repartition(4), path, split_bytes=1 << 20)
+    back = arrays.read_array_files(spark, path, columns=["vec_id", "label", "embedding"], split_bytes=1 << 18)
+    return back.select("vec_id", "label", F.size("embedding").alias("size"), F.col("embedding")[0].cast("double").alias("first"), F.col("embedding")[63].cast("double").alias("last"))
+
+
+@query("array_labels", "SELECT label::INT AS label, count(*)::BIGINT AS n FROM embeddings WHERE label IS NOT NULL GROUP BY 1")
+def array_labels(spark, sf_dir):
+    """Label counts from array files, whose images are not opened."""
+    path = scratch_dir(spark, "array-files")
+    vectors = table(spark, sf_dir, "embeddings").where("label IS NOT NULL AND embedding IS NOT NULL")
+    arrays.write_array_files(vectors.select(F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("pixels")), path)
+    return arrays.read_array_files(spark, path, columns=["label"]).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("decoded_images", """
+    SELECT label::VARCHAR AS label, (vec_id // 256)::VARCHAR AS name, count(*)::INT AS height, 64::INT AS width, sum(p)::BIGINT AS total
+    FROM (SELECT label, vec_id, list_sum(list_transform(embedding, lambda v: least(greatest(floor(v::DOUBLE * 64 + 128), 0), 255))) AS p
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL) GROUP BY 1, 2""")
+def decoded_images(spark, sf_dir):
+    """Vectors as rows of grey pictures, written as PNG files into class folders and decoded again."""
+    root = scratch_dir(spark, "images")
+    vectors = table(spark, sf_dir, "embeddings").where("label IS NOT NULL AND embedding IS NOT NULL")
+    levels = F.transform("embedding", lambda v: F.least(F.greatest(F.floor(v.cast("double") * 64 + 128), F.lit(0)), F.lit(255)).cast("int"))
+    # A picture holds 256 vectors at most.
+    pictures = vectors.groupBy(F.col("label").cast("string").alias("label"), F.expr("vec_id DIV 256").cast("string").alias("name")).agg(
+        F.array_sort(F.collect_list(F.struct("vec_id", levels.alias("p")))).alias("rows"))
+    flat = F.flatten(F.transform("rows", lambda r: r["p"]))
+    write_images(pictures.select(F.lit("train").alias("split"), "label", "name", F.size("rows").alias("height"), F.lit(64).alias("width"), F.lit(1).alias("channels"), flat.alias("pixels")), root)
+    decoded = read_images(spark, root, "*.png")
+    total = F.aggregate("pixels", F.lit(0.0), lambda a, v: a + v).cast("long")
+    return decoded.select("label", F.regexp_extract("path", r"([^/]+)[.]png$", 1).alias("name"), "height", "width", total.alias("total"))
