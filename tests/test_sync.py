@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions import dense
 from tidemill.functions.optimizers import Optimizer
-from tidemill.operators import augment, split, train
+from tidemill.operators import augment, split, track, train
 from tidemill.operators.sync import Augmentation, fit_synchronous
 from tidemill.plans.permute import Permutation
 
@@ -141,14 +141,36 @@ def test_augmented_epochs_equal_the_variants_written_out(spark, fresh):
     assert not np.allclose(plain.weights, state.weights)
 
 
-def test_epochs_are_reported_while_they_run_and_stay_if_the_fit_dies(spark):
-    seen = []
+def test_fits_in_an_active_run_log_each_epoch_and_keep_them_if_they_die(spark, fresh):
+    store = track.RunStore(spark, fresh("runs"))
 
-    def report(row):
-        seen.append(row.first().epoch)
-        if len(seen) == 2:
-            raise RuntimeError("stopped")
+    def stop(epoch, rate):
+        if epoch == 2:
+            raise RuntimeError("lost")
+        return rate
 
-    with pytest.raises(RuntimeError, match="stopped"):
-        fit_synchronous(points(spark), "id", "x", "y", [2], "mse", 5, workers=2, report=report)
-    assert seen == [0, 1]
+    df = points(spark)
+    fits = {
+        "sync": lambda: fit_synchronous(df, "id", "x", "y", [2], "mse", 5, workers=2, split="split", schedule=stop),
+        "dense": lambda: train.fit_dense(df, "id", "x", "y", [2], "mse", 5, buckets=2, schedule=stop),
+        "logistic": lambda: train.fit_logistic(df, ["a", "b"], "d", 5, split="split", schedule=stop),
+        "linear": lambda: train.fit_linear_gd(df, ["a"], "b", 5, schedule=stop),
+    }
+    for name, fit in fits.items():
+        with pytest.raises(RuntimeError, match="lost"), track.active_run(store, "trial", name):
+            fit()
+    with track.active_run(store, "trial", "whole"):
+        train.fit_softmax_head(df, "x", "c", 3, max_iter=4)
+    train.fit_linear_gd(df, ["a"], "b", 2)  # outside any run: logged nowhere
+    found = {(r.run_id, r.key): r.steps for r in store.metrics().groupBy("run_id", "key").agg(F.sort_array(F.collect_list("step")).alias("steps")).collect()}
+    assert all(found[name, "loss"] == [0, 1] for name in fits)
+    assert found["sync", "val_loss"] == found["logistic", "val_loss"] == [0, 1]
+    assert found["whole", "loss"] == list(range(len(found["whole", "loss"]))) and len(found["whole", "loss"]) > 1
+    assert {r.run_id for r in store.runs().collect()} == {*fits, "whole"}
+
+
+def test_saved_states_keep_losses_and_how_the_fit_ended(spark, fresh):
+    state = train.FitState(np.ones(2), np.zeros((0, 2)), 3, [1, 1], "softmax", 3, None, [0.7, 0.5], True)
+    train.save_state(spark, state, path := fresh("state"))
+    back = train.load_state(spark, path)
+    assert (back.losses, back.converged) == ([0.7, 0.5], True)

@@ -25,7 +25,7 @@ from tidemill.functions import dense
 from tidemill.functions.hashing import as_list
 from tidemill.functions.optimizers import make_optimizer
 from tidemill.operators.augment import DRAWS, warp_images, with_draws
-from tidemill.operators.train import LOSS_OUTPUT, FitState, _history
+from tidemill.operators.train import LOSS_OUTPUT, FitState, _history, _log
 from tidemill.plans.permute import Permutation
 from tidemill.plans.ranking import dealt_ranks
 from tidemill.plans.scratch import scratch_dir
@@ -140,8 +140,7 @@ def fit_synchronous(
     df: DataFrame, key, features, target: str, hidden: list[int], loss: str, epochs: int, outputs: int = 1,
     optimizer="adam", batch: int = 32, dropout: float = 0.0, seed: int = 42, workers: int | None = None,
     split: str | None = None, validation: str = "validation", initial: FitState | None = None,
-    schedule: Callable[[int, float], float] | None = None, drop_remainder: bool = False, augment: Augmentation | None = None,
-    report: Callable[[DataFrame], None] | None = None, exchange: str = "folder",
+    schedule: Callable[[int, float], float] | None = None, drop_remainder: bool = False, augment: Augmentation | None = None, exchange: str = "folder",
 ) -> tuple[FitState, DataFrame]:
     """A fully connected network, or with no hidden layer a logistic or linear unit, by synchronous mini-batches.
 
@@ -159,7 +158,6 @@ def fit_synchronous(
     ``augment`` draw by (seed, epoch, row).  Training loss and accuracy are
     those before each update, validation those after the epoch.  Rows without
     a complete vector or a target take no part; ``key`` must identify a row.
-    ``report`` is called with each epoch's history row as soon as it is there.
     """
     spark = df.sparkSession
     slots_free = spark.sparkContext.defaultParallelism
@@ -193,8 +191,7 @@ def fit_synchronous(
             ordered = placed.sortWithinPartitions(F.asc_nulls_last("_pos")).select(*columns).withColumn("_pos", F.coalesce("_pos", F.lit(total.n)))
             state, row = _epoch(ordered, state, rule, rate, epoch, total.n, batch, dropout, seed, drop_remainder, bool(split), augment, folder)
             history.append(row)
-            if report:
-                report(_history(spark, [row]))
+            _log(spark, [row])
     finally:
         data.unpersist()
         if folder:

@@ -1,6 +1,9 @@
 """Experiment tracking kept as append-only tables."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,6 +53,32 @@ class RunStore:
         df.hint("rebalance", "experiment").write.mode("append").partitionBy("experiment").parquet(f"{self.path}/{table}")
 
 
+_ACTIVE: ContextVar[tuple["RunStore", str, str] | None] = ContextVar("active_run", default=None)
+
+
+@contextmanager
+def active_run(store: RunStore, experiment: str, run_id: str | None = None) -> Iterator[str]:
+    """A run that every fit inside logs to by itself, epoch by epoch; what was logged stays if a fit dies."""
+    run_id = store.start_run(experiment, run_id)
+    token = _ACTIVE.set((store, experiment, run_id))
+    try:
+        yield run_id
+    finally:
+        _ACTIVE.reset(token)
+
+
+def is_active() -> bool:
+    return _ACTIVE.get() is not None
+
+
+def report(history: DataFrame) -> None:
+    """Logs rows of a history to the active run; without one, nothing happens."""
+    active = _ACTIVE.get()
+    if active:
+        store, experiment, run_id = active
+        store.autolog(experiment, run_id, history)
+
+
 def history_metrics(history: DataFrame) -> DataFrame:
     """``key, value, step`` rows of a history, missing values left out."""
     present = [m for m in METRICS if m in history.columns]

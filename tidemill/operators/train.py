@@ -21,6 +21,7 @@ from tidemill.functions import dense
 from tidemill.functions.hashing import as_list, digest, u32
 from tidemill.functions.losses import binary_cross_entropy
 from tidemill.functions.optimizers import Optimizer, make_optimizer
+from tidemill.operators import track
 from tidemill.plans.iterate import kept
 
 HISTORY = "epoch int, lr double, loss double, val_loss double, accuracy double, val_accuracy double"
@@ -46,20 +47,26 @@ class FitState:
 
 
 def save_state(spark: SparkSession, state: FitState, path: str) -> None:
-    row = (state.weights.tolist(), state.slots.tolist(), state.step, list(state.widths), state.output, state.epoch, state.lr)
-    schema = "weights array<double>, slots array<array<double>>, step long, widths array<int>, output string, epoch long, lr double"
+    row = (state.weights.tolist(), state.slots.tolist(), state.step, list(state.widths), state.output, state.epoch, state.lr, list(state.losses), state.converged)
+    schema = "weights array<double>, slots array<array<double>>, step long, widths array<int>, output string, epoch long, lr double, losses array<double>, converged boolean"
     spark.createDataFrame([row], schema).write.mode("overwrite").parquet(path)
 
 
 def load_state(spark: SparkSession, path: str) -> FitState:
     row = spark.read.parquet(path).first()
-    return FitState(np.array(row.weights), np.array(row.slots), row.step, list(row.widths), row.output, row.epoch, row.lr)
+    return FitState(np.array(row.weights), np.array(row.slots), row.step, list(row.widths), row.output, row.epoch, row.lr, list(row.losses), row.converged)
 
 
 def _history(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, HISTORY)
 
 
+def _log(spark: SparkSession, rows: list[tuple]) -> None:
+    """Rows of a history to the active run, if there is one."""
+    if rows and track.is_active():
+        track.report(_history(spark, rows))
+
+
 def fit_line(df: DataFrame, x: str, y: str, by: str | None = None) -> DataFrame:
     """Least-squares slope, intercept and r2, overall or per group, in one aggregate."""
     stats = [
@@ -145,6 +152,8 @@ def fit_linear_gd(
     features = as_list(features)
     rule = make_optimizer(optimizer or Optimizer("sgd", 0.001, 0.9))
     sides = _moments(df, features, target, split, validation)
+    if False not in sides:
+        raise ValueError("the training side has no complete row")
     n, xx, xy, yy = sides[False]
     steps = steps or math.ceil(n / 32)
     d = len(features) + 1
@@ -156,19 +165,22 @@ def fit_linear_gd(
         return float((w @ a @ w - 2 * w @ b + c) / m)
 
     rows = []
-    for epoch in range(state.epoch, state.epoch + epochs):
-        lr = schedule(epoch, lr) if schedule else lr
-        if rule.name == "sgd" and steps > STEPS_ONE_BY_ONE:
-            w, velocity, loss = _momentum_steps(sides[False], w, slots[0], steps, lr, rule.momentum)
-            slots, step = np.stack([velocity]), step + steps
-        else:
-            losses = []
-            for _ in range(steps):
-                losses.append(mse(False, w))
-                step += 1
-                w, slots = rule.update(w, 2.0 / n * (xx @ w - xy), slots, step, lr)
-            loss = sum(losses) / len(losses)
-        rows.append((epoch, float(lr), loss, mse(True, w) if True in sides else None, None, None))
+    try:
+        for epoch in range(state.epoch, state.epoch + epochs):
+            lr = schedule(epoch, lr) if schedule else lr
+            if rule.name == "sgd" and steps > STEPS_ONE_BY_ONE:
+                w, velocity, loss = _momentum_steps(sides[False], w, slots[0], steps, lr, rule.momentum)
+                slots, step = np.stack([velocity]), step + steps
+            else:
+                losses = []
+                for _ in range(steps):
+                    losses.append(mse(False, w))
+                    step += 1
+                    w, slots = rule.update(w, 2.0 / n * (xx @ w - xy), slots, step, lr)
+                loss = sum(losses) / len(losses)
+            rows.append((epoch, float(lr), loss, mse(True, w) if True in sides else None, None, None))
+    finally:  # epochs are mere arithmetic here, so they are logged together
+        _log(df.sparkSession, rows)
     return FitState(w, slots, step, state.widths, "linear", state.epoch + epochs, lr), _history(df.sparkSession, rows)
 
 
@@ -264,6 +276,7 @@ def fit_logistic(
                 now = evaluate(data, w)
             val_loss, val_accuracy = now[1] if split else (None, None)
             rows.append((epoch, float(lr), loss, val_loss, accuracy, val_accuracy))
+            _log(df.sparkSession, rows[-1:])
     return FitState(w, slots, step, state.widths, "sigmoid", state.epoch + epochs, lr), _history(df.sparkSession, rows)
 
 
@@ -284,6 +297,7 @@ def fit_softmax_head(df: DataFrame, features: str, label: str, classes: int, max
     b[~np.isfinite(b)] = -1e3
     losses = [float(x) for x in model.summary.objectiveHistory]
     done = len(losses) - 1
+    _log(df.sparkSession, [(i, None, loss, None, None, None) for i, loss in enumerate(losses[:-1])])
     return FitState(dense.pack([(w, b)]), np.zeros((0, w.size + classes)), done, [w.shape[0], classes], "softmax", done, None, losses, done < max_iter)
 
 
@@ -425,20 +439,25 @@ def fit_dense(
                 n, steps, loss_sum, correct, val_n, val_loss, val_correct = (math.fsum(table[m].to_pylist()) for m in metrics)
                 if split:
                     val_rows.append((val_loss / val_n, val_correct / val_n if classify else None) if val_n else (None, None))
+                    if rows:  # these are judged by the weights of the epoch before, whose row is whole now
+                        _log(spark, [_whole(rows[-1], val_rows[-1])])
                 if train:
                     mean = _average(result, size + state.slots.size)
                     taken = max(1, round(steps / max(1, table.num_rows)))
                     state = FitState(mean[:size], mean[size:].reshape(state.slots.shape), state.step + taken, widths, output, epoch + 1, lr)
                     rows.append((epoch, float(lr), loss_sum / n if n else None, correct / n if classify and n else None))
+                    if not split:
+                        _log(spark, [_whole(rows[-1], (None, None))])
             finally:
                 result.unpersist()
     finally:
         data.unpersist()
-    history = []
-    for i, (epoch, rate, mean_loss, accuracy) in enumerate(rows):
-        val_loss, val_accuracy = val_rows[i + 1] if split else (None, None)
-        history.append((epoch, rate, mean_loss, val_loss, accuracy, val_accuracy))
-    return state, _history(spark, history)
+    return state, _history(spark, [_whole(row, val_rows[i + 1] if split else (None, None)) for i, row in enumerate(rows)])
+
+
+def _whole(row: tuple, judged: tuple) -> tuple:
+    epoch, rate, loss, accuracy = row
+    return epoch, rate, loss, judged[0], accuracy, judged[1]
 
 
 def resume(fit: Callable, state: FitState, df: DataFrame, *args, **options) -> tuple[FitState, DataFrame]:

@@ -2,10 +2,12 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import curate
 from tidemill.operators.split import hash_split
+from tidemill.plans.scratch import scratch_dir
 from tidemill.queries.registry import per_position, query, rounded, sql_round, sql_split, table
 
 WANTED = ["src0", "src3", "src5", "src8", "src11", "src13", "src17", "src19"]
 ABSENT = ["src3", "src8", "src90", "src91"]
+from tidemill.sources.sinks import Manifest
 
 
 def _listing(spark, sf_dir, label="source"):
@@ -92,3 +94,17 @@ def profile_arrays(spark, sf_dir):
     return p.withColumns({
         "min_value": rounded(F.col("min_value")), "max_value": rounded(F.col("max_value")),
         "min_scaled": rounded(F.col("min_scaled"), 8), "max_scaled": rounded(F.col("max_scaled"), 8)})
+
+
+@query("concurrent_links", """
+    SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('O', 'F') OR o_orderpriority < '3'""")
+def concurrent_links(spark, sf_dir):
+    """Two runs that overlap, the later one committing first, and a repeat of both: each order is linked once."""
+    orders = table(spark, sf_dir, "orders")
+    manifest = Manifest(spark, scratch_dir(spark, "manifest"), "o_orderkey", "o_orderkey long, o_orderstatus string")
+    one, two = orders.where("o_orderstatus IN ('O', 'F')"), orders.where("o_orderpriority < '3'")
+    first, second = manifest.prepare(one), manifest.prepare(two)
+    manifest.commit(*second)
+    manifest.commit(*first)
+    manifest.append(one.unionByName(two))
+    return manifest.read()

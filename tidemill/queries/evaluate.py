@@ -6,8 +6,10 @@ from tidemill.operators.curate import one_hot
 from tidemill.operators.split import hash_split
 from tidemill.operators.score import score_dense
 from tidemill.operators.transform import argmax_class
+from tidemill.plans.scratch import scratch_dir
 from tidemill.queries.registry import query, rounded, sql_round, sql_split, table
 from tidemill.queries.score import fixed_head
+from tidemill.streaming.cutoff import latest, run_batches, stream_accuracy
 from tidemill.streaming.confusion import run_to_end, stream_confusion, stream_table
 
 # The last class never occurs: a grid must still show it.
@@ -192,3 +194,24 @@ def binary_ce_with_gaps(spark, sf_dir):
     nans = data.withColumn("p", F.when(F.col("split") == "train", F.col("p").cast("double")).otherwise(F.lit(float("nan"))))
     loss = e.binary_cross_entropy(nulls, "y", "p").unionByName(e.binary_cross_entropy(nans, "y", "p"))
     return loss.select(F.isnan("loss").alias("diverged"), F.when(F.isnan("loss"), -1.0).otherwise(rounded(F.col("loss"))).alias("loss"))
+
+
+@query("stream_cutoff", """
+    WITH r AS (SELECT event_type AS run, event_id, event_type = CASE WHEN value < 20 THEN 'click' WHEN value < 60 THEN 'view' ELSE 'purchase' END AS correct,
+                      row_number() OVER (PARTITION BY event_type ORDER BY length(event_id::VARCHAR), event_id::VARCHAR) AS place FROM events)
+    SELECT run, count(*)::BIGINT AS n, count(*) FILTER (correct)::BIGINT AS correct, count(*) = 200 AS stopped FROM r WHERE place <= 200 GROUP BY 1""")
+def stream_cutoff(spark, sf_dir):
+    """The first 200 events of each type judged by the rule on the value, in micro-batches by key, one of them coming twice, with a restart before each."""
+    events = table(spark, sf_dir, "events")
+    folder, checkpoint = scratch_dir(spark, "events"), scratch_dir(spark, "cutoff")
+    # What is new since the last start is one micro-batch.
+    edges = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
+    third = (edges.hi - edges.lo) // 3 + 1
+    parts = [events.where(F.expr(f"(event_id - {edges.lo}) DIV {third} = {i}")) for i in (0, 1, 1, 2)]
+    rule = F.when(F.col("value") < 20, "click").when(F.col("value") < 60, "view").otherwise("purchase")
+
+    for part in parts:
+        part.write.mode("append").parquet(folder)
+        stream = stream_table(spark, folder, events.schema).withColumn("y_pred", rule)
+        batches = run_batches(stream_accuracy(stream, "event_type", "event_id", "event_type", "y_pred", 200), checkpoint)
+    return latest(batches).select("run", "n", "correct", "stopped")

@@ -2,8 +2,9 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import track
 from tidemill.plans.scratch import scratch_dir
-from tidemill.queries.registry import query, rounded, table
-from tidemill.queries.train import gd_fit, gd_sql
+from tidemill.queries.registry import query, rounded, sql_round, table
+from tidemill.operators.train import fit_logistic
+from tidemill.queries.train import FEATURES_SQL, METRIC_COLUMNS, RULES, ZSCORES, flags, gd_fit, gd_sql, logit_sql
 
 
 def event_metrics(spark, sf_dir):
@@ -45,3 +46,14 @@ def latest_metric(spark, sf_dir):
 def compare_runs(spark, sf_dir):
     """Users of each event type ranked by their largest value."""
     return track.compare_runs(event_metrics(spark, sf_dir), "value", lower_is_better=False)
+
+
+@query("autolog_run", f"""
+    WITH {FEATURES_SQL}, {logit_sql('adam', 2)}, u AS (UNPIVOT adam_h ON {', '.join(METRIC_COLUMNS)} INTO NAME name VALUE value)
+    SELECT 'flags' AS experiment, name AS key, epoch::BIGINT AS step, {sql_round('value')} AS value FROM u""")
+def autolog_run(spark, sf_dir):
+    """A fit inside an active run: its epochs are in the store without a call."""
+    store = track.RunStore(spark, scratch_dir(spark, "runs"))
+    with track.active_run(store, "flags"):
+        fit_logistic(flags(spark, sf_dir), ZSCORES, "y", 2, RULES["adam"], split="split")
+    return store.metrics().select("experiment", "key", "step", rounded(F.col("value")).alias("value"))
