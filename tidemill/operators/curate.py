@@ -6,7 +6,7 @@ from pyspark.sql import Window
 
 from tidemill.functions.arrays import indicator
 from tidemill.functions.hashing import as_list
-from tidemill.plans.lookup import null_safe_join, pin_small, small_join
+from tidemill.plans.lookup import LOOKUP_ROWS, null_safe_join, pin_small, small_join
 from tidemill.plans.ranking import ordered_row_number
 
 
@@ -15,10 +15,10 @@ def attach_names(df: DataFrame, dictionary: DataFrame, on: str = "class_index")
     return small_join(df, dictionary, on, "left")
 
 
-def class_subset(df: DataFrame, classes, label: str = "label") -> DataFrame:
-    """Rows of the listed classes: a pushed-down filter for a list, a semi join for a table."""
+def class_subset(df: DataFrame, classes, label: str = "label", limit: int = LOOKUP_ROWS) -> DataFrame:
+    """Rows of the listed classes: a pushed-down filter for a list, a semi join for a table (behind a Bloom filter beyond ``limit`` rows)."""
     if isinstance(classes, DataFrame):
-        return small_join(df, classes.select(F.col(classes.columns[0]).alias(label)), label, "left_semi")
+        return small_join(df, classes.select(F.col(classes.columns[0]).alias(label)), label, "left_semi", limit)
     return df.where(F.col(label).isin(list(classes)))
 
 

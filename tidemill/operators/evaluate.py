@@ -2,11 +2,12 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tidemill.functions import losses
 from tidemill.functions.hashing import as_list
-from tidemill.plans.lookup import value_list
+from tidemill.plans.lookup import pin_small, value_list
 from tidemill.plans.ranking import ordered_row_number
 
 
@@ -122,6 +123,48 @@ def check_aligned(truth: DataFrame, pred: DataFrame, key) -> None:
 METRICS = ("loss", "val_loss", "accuracy", "val_accuracy")
 
 
+#: Key buckets two tables are compared by; their digests are a table of so many rows at most.
+BUCKETS = 1 << 16
+
+
+def bucket_digests(df: DataFrame, key, buckets: int = BUCKETS) -> DataFrame:
+    """Rows and an order-independent digest of all columns per bucket of keys, combined map-side."""
+    # The hash passes over missing values, so where they are is hashed, too; nested values go by their spelling.
+    nested = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.ArrayType, T.StructType))}
+    columns = sorted(df.columns)
+    values = [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if c in nested else F.col(c) for c in columns]
+    gaps = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    hashed = df.select(F.pmod(F.xxhash64(*as_list(key)), F.lit(buckets)).alias("bucket"), F.xxhash64(*values, gaps).alias("_h"))
+    low = F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+    return hashed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(low).alias("low"), F.sum(F.shiftrightunsigned("_h", 32)).alias("high"), F.bit_xor("_h").alias("mixed"))
+
+
+def reconcile(truth: DataFrame, pred: DataFrame, key, buckets: int = BUCKETS) -> DataFrame:
+    """Rows that two tables do not hold equally often: all columns, n_truth, n_pred.
+
+    Digests of key buckets are compared first, and only the rows of buckets
+    that differ are shuffled: none if the tables are equal.  A changed row
+    comes twice, as it was and as it is.  Both sides need the same columns;
+    rows may repeat, NULL equals NULL.
+    """
+    columns = truth.columns
+    if sorted(columns) != sorted(pred.columns):
+        raise ValueError(f"columns differ: {sorted(set(columns) ^ set(pred.columns))}")
+    sums = ["n", "low", "high", "mixed"]
+    sides = bucket_digests(truth, key, buckets).select("bucket", *sums, F.lit(1).alias("side")).unionAll(bucket_digests(pred, key, buckets).select("bucket", *sums, F.lit(2).alias("side")))
+    # A bucket that is the same on both sides is one group of two rows.
+    same = sides.groupBy("bucket", *sums).agg(F.count(F.lit(1)).alias("_k")).where("_k < 2")
+    unequal = pin_small(same.select("bucket").distinct(), buckets)
+
+    def suspects(df: DataFrame, side: int) -> DataFrame:
+        marked = df.select(*columns, F.pmod(F.xxhash64(*as_list(key)), F.lit(buckets)).alias("bucket"), F.lit(side).alias("_side"))
+        return marked.join(F.broadcast(unequal), "bucket", "left_semi").drop("bucket")
+
+    both = suspects(truth, 1).unionByName(suspects(pred, 2))
+    counts = both.groupBy(*columns).agg(F.count_if(F.col("_side") == 1).alias("n_truth"), F.count_if(F.col("_side") == 2).alias("n_pred"))
+    return counts.where(F.col("n_truth") != F.col("n_pred"))
+
+
 def curves(history: DataFrame) -> DataFrame:
     """Tidy (epoch, metric, phase, value, available) rows of a training history.
 

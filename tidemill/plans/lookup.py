@@ -6,6 +6,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.plans.bloom import build
+
 LOOKUP_ROWS = 100_000
 LOOKUP_BYTES = 64 * 1024 * 1024
 
@@ -35,12 +37,22 @@ def null_safe_join(left: DataFrame, right: DataFrame, on, how: str = "inner") ->
     return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
+def _same_hash(left: DataFrame, right: DataFrame, on) -> bool:
+    """Whether equal keys have equal hashes: the types agree and have one form of each value."""
+    a, b = dict(left.dtypes), dict(right.dtypes)
+    return all(a[k] == b[k] and a[k] not in ("float", "double") for k in ([on] if isinstance(on, str) else on))
+
+
 def small_join(df: DataFrame, small: DataFrame, on, how: str = "left", limit: int = LOOKUP_ROWS) -> DataFrame:
     """Null-safe join that broadcasts ``small`` when measured small and shuffles otherwise.
 
     The shuffle join is left to adaptive execution, which splits skewed keys.
+    If only matching rows stay, a Bloom filter of ``small`` drops the others
+    before they are shuffled.
     """
     pinned = pin_small(small, limit)
+    if pinned is None and how in ("inner", "left_semi") and _same_hash(df, small, on):
+        df = build(small, on).keep(df, on)
     return null_safe_join(df, small if pinned is None else F.broadcast(pinned), on, how)
 
 

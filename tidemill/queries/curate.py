@@ -108,3 +108,11 @@ def concurrent_links(spark, sf_dir):
     manifest.commit(*first)
     manifest.append(one.unionByName(two))
     return manifest.read()
+
+
+@query("bloom_subset", """
+    SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)""")
+def bloom_subset(spark, sf_dir):
+    """Orders of some customers, as if these were too many to send: a Bloom filter before the shuffle join."""
+    wanted = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select("c_custkey")
+    return curate.class_subset(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), wanted, "o_custkey", limit=0)

@@ -215,3 +215,16 @@ def stream_cutoff(spark, sf_dir):
         stream = stream_table(spark, folder, events.schema).withColumn("y_pred", rule)
         batches = run_batches(stream_accuracy(stream, "event_type", "event_id", "event_type", "y_pred", 200), checkpoint)
     return latest(batches).select("run", "n", "correct", "stopped")
+
+
+@query("reconcile", """
+    SELECT o_orderkey, 1::BIGINT AS n_truth, 0::BIGINT AS n_pred FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 101 = 5
+    UNION ALL SELECT o_orderkey, 0::BIGINT, 1::BIGINT FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 101 = 5
+    UNION ALL SELECT o_orderkey, 1::BIGINT, 2::BIGINT FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderkey % 101 <> 5 AND o_orderkey % 103 = 7""")
+def reconcile(spark, sf_dir):
+    """Orders against a copy with rows lost, changed and doubled: every difference is named."""
+    orders = table(spark, sf_dir, "orders")
+    lost = orders.where("o_orderkey % 97 <> 0")
+    changed = lost.withColumn("o_totalprice", F.when(F.expr("o_orderkey % 101 = 5"), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    doubled = changed.where("o_orderkey % 103 = 7 AND o_orderkey % 101 <> 5")
+    return e.reconcile(orders, changed.unionByName(doubled), "o_orderkey").select("o_orderkey", "n_truth", "n_pred")
