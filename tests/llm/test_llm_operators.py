@@ -403,3 +403,46 @@ def test_a_vocabulary_that_does_not_fit_is_refused(spark, tmp_path):
         with open(other, "wb") as f:
             f.write(b"\n".join([*lines, base64.b64encode(b"\xff\xfe\xfd\xfc") + b" 50256"]))
         tokenfiles.flat_files(docs(spark, [(1, "x")]), path=other).collect()
+
+
+ORDINARY = [
+    ("<div id=page class='site has-sidebar'><article><p>Kept</p></article></div><div class=sidebar>Gone</div>", "Kept"),
+    ("<div class='main-content with-sidebar'><p>Kept</p></div><div id='sidebar' width='100%'>Gone</div>", "Kept"),
+    ("<div data-hidden='false'><p>Kept</p></div>", "Kept"),
+    ("<div><p title='hidden gems'>Kept</p></div>", "Kept"),
+    ("<article><p>Kept <math><mi>x</mi><mo>=</mo><mn>2</mn></math> end</p></article>", "Kept x=2 end"),
+    ("<div class='no-sidebar'><p data-class='ad'>Kept</p></div><p hidden>Gone</p><p class=ad class=main>Gone</p>", "Kept"),
+]
+
+
+def test_names_tell_only_what_an_element_is(spark):
+    rows = [(i, f"http://h{i}/", f"<body>{page}</body>") for i, (page, _) in enumerate(ORDINARY)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: text for i, (_, text) in enumerate(ORDINARY)}
+
+
+def test_the_alignment_decides_where_names_tell_nothing(spark):
+    page = "<body><div class=x1><div>Follow us now</div><div>{own}</div>{more}<div>All rights kept</div></div></body>"
+    rows = [(i, f"http://h/{i}", page.format(own=f"Story {i}", more="<p>Extra</p>" if i == 3 else "")) for i in range(8)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    with_templates = {r.page_id: r.text for r in html.extract(frame).collect()}
+    assert with_templates == {i: f"Story {i}" + ("\n\nExtra" if i == 3 else "") for i in range(8)}
+    without = {r.text for r in html.extract(frame, constant=2.0).collect()}
+    assert all(t.startswith("Follow us now") and t.endswith("All rights kept") for t in without)
+
+
+def test_constants_are_counted_over_all_different_pages_of_a_host(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(60):
+        host = f"h{i % 3}"
+        blocks = [f"<div><p>fixed {host} {j}</p></div>" if rng.random() < 0.8 else f"<div><p>own {rng.randrange(10**6)}</p></div>" for j in range(4)]
+        rows.append((i, f"http://{host}/{i}", f"<body>{''.join(blocks)}<section><p>story {rng.randrange(50)}</p></section></body>"))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract(frame).collect()}
+    for i, url, page in rows:
+        mates = {tuple(html.parse(p)[2]) for _, u, p in rows if u.split("/")[2] == url.split("/")[2]}
+        # All trees are alike and siblings of one name share a place, so a text alone tells its place.
+        count = {t: sum(t in m for m in mates) for t in html.parse(page)[2]}
+        want = [t for t in html.parse(page)[2] if not (count[t] >= 5 and count[t] >= 0.6 * len(mates))]
+        assert got[i] == "\n\n".join(want), i

@@ -20,11 +20,12 @@ HOSTS = 20_000
 
 # One way to read a quote, without going back: an unclosed tag costs no more than its length, and the end of the page closes it.
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?:>|\Z)|([^<]+|<)""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++))?""")
 # Element names by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
-RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg math object select".split())
+INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var
+math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle mspace mpadded semantics""".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes template svg object select".split())
 APART = frozenset("nav footer aside form button dialog menu fieldset input head header".split())
 ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
@@ -34,6 +35,7 @@ ASIDE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adv|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscri\w*|sign-?up|paywall|sidebar|side|rail|widget|menu|nav|navbar|navigation|breadcrumbs?|pagination|pager|footer|masthead|topbar|toolbar|site-header|page-header|shar(?:e|ing)|social|related|recommend\w*|trending|comments?|replies|respond|disqus|login|search|skip|toc|tags?|copyright|disclaimer|navigation|contentinfo|complementary|form)(?=$|[\s_-])",
     re.I,
 )
+LAYOUT = re.compile(r"(?:has|with|no|without|is|not)[-_]", re.I)
 MAIN = re.compile(r"(?:^|[\s_-])(?:main|article-?body|post-?(?:body|content)|entry-?content|story-?body|content|article)(?=$|[\s_-])", re.I)
 
 
@@ -46,8 +48,11 @@ class Node:
 
 def label(tag: str, attributes: str) -> str:
     """Tag and first class or id; marked `!` if apart from the main text by its name, `*` if it is a place of main text."""
-    found = {a.lower(): b.strip("\"'") for a, b in ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    names = " ".join(found.get(a, "") for a in ("class", "id", "role"))
+    found: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(attributes) if attributes.strip() else ():
+        found.setdefault(name.lower(), value.strip("\"'"))
+    # A name that tells what its element has, or is laid out with, says nothing about what it is.
+    names = " ".join(n for a in ("class", "id", "role") for n in found.get(a, "").split() if not LAYOUT.match(n))
     first = re.sub(r"[^A-Za-z_-]", "", (found.get("class") or found.get("id") or "").split(" ")[0])[:24]
     hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
     if tag in ("html", "body"):
@@ -275,7 +280,15 @@ def content(shape: str, nodes: list[int], texts: list[str], links: list[int], re
     """
     match = align(shape, reference)
     apart, inside, item = places(shape)
-    left = [(n, t) for n, t, k in zip(nodes, texts, links, strict=True) if not apart[n] and (match[n], digest(t)) not in constant and not (item[n] and 2 * k > len(t))]
+    own, theirs = tree(shape), tree(reference)
+    # A node that the reference lacks, or has elsewhere, still bears the name of the place its text belongs to.
+    named = {(theirs[n][0], d) for n, d in constant}
+
+    def template(n: int, text: str) -> bool:
+        d = digest(text)
+        return (match[n], d) in constant or (match[n] < 0 and (own[n][0], d) in named)
+
+    left = [(n, t) for n, t, k in zip(nodes, texts, links, strict=True) if not apart[n] and not template(n, t) and not (item[n] and 2 * k > len(t))]
     marked = any(inside[n] >= 0 for n, _ in left)
     return "\n\n".join(t for n, t in left if not marked or inside[n] >= 0)
 

@@ -124,9 +124,9 @@ def _bounds(df: DataFrame, col: str, identity: list) -> DataFrame:
     return sample.agg(F.array_sort(F.collect_list("_v")).alias("_a"))
 
 
-def value_bucketer(df: DataFrame, col: str, identity: list):
+def value_bucketer(df: DataFrame, col: str, identity: list, bounds: DataFrame | None = None):
     """A function adding ``_b``, a bucket that grows with ``col``; ``identity`` names a unique key of ``df``."""
-    bounds = _bounds(df, col, identity)
+    bounds = _bounds(df, col, identity) if bounds is None else bounds
     buckets = bound_count(df) + 1
     halves = F.array(*[F.lit(buckets >> i) for i in range(1, buckets.bit_length())])
 
@@ -166,7 +166,10 @@ def group_cut(df: DataFrame, group: str, order: str, keep: Column) -> DataFrame:
     sorted, so one group may hold most of the rows.
     """
     narrow = df.select(group, order)
-    cells = value_bucketer(narrow, order, [group, order])(narrow).groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # Two steps need the bounds; they are few, so they are taken once and kept as a local row.
+    found = _bounds(narrow, order, [group, order])
+    bounds = df.sparkSession.createDataFrame([found.first()], found.schema)
+    cells = value_bucketer(narrow, order, [group, order], bounds)(narrow).groupBy(group, "_b").agg(F.count(F.lit(1)).alias("_n"))
     # At most a cell per bucket and group.
     cells = cells.select(
         group, "_b", "_n",
@@ -175,7 +178,7 @@ def group_cut(df: DataFrame, group: str, order: str, keep: Column) -> DataFrame:
     ).withColumn("_k", keep)
     holders = cells.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_start") + F.col("_n")))
     # The bucket as a range of values: finding its rows takes two comparisons.
-    holders = holders.withColumn("_bounds", _bounds(narrow, order, [group, order]).scalar()).select(
+    holders = holders.withColumn("_bounds", bounds.scalar()).select(
         group, (F.col("_k") - F.col("_start")).alias("_m"),
         F.when(F.col("_b") > 0, F.get("_bounds", F.col("_b") - 1)).alias("_from"), F.get("_bounds", F.col("_b")).alias("_to"))
     inside = (F.col("_from").isNull() | (F.col(order) >= F.col("_from"))) & (F.col("_to").isNull() | (F.col(order) < F.col("_to")))
