@@ -267,8 +267,7 @@ def brute_links(messages):
     out = {}
     for c, t, _, text in messages:
         lines = (text or "").split("\n")
-        own = [x for x in lines if not x.startswith(">")]
-        votes = Counter()
+        votes, gone = Counter(), set()
         for x in lines:
             level = len(re.match(r"[> ]*", x)[0].replace(" ", "")) if x.startswith(">") else 0
             body = re.sub(r"\s+", " ", re.sub(r"^[> ]*", "", x).lower()).strip()
@@ -276,8 +275,11 @@ def brute_links(messages):
                 earlier = [u for d, u, _, w in messages if d == c and u < t and body in [re.sub(r"\s+", " ", y.lower()).strip() for y in (w or "").split("\n") if not y.startswith(">")]]
                 if earlier:
                     votes[-level, max(earlier)] += 1
+                    gone.add(x)
         best = max(votes.items(), key=lambda v: (v[0][0], v[1], v[0][1]), default=None)
-        out[c, t] = (best[0][1] if best else None, [x for x in own if not x.endswith("wrote:")])
+        if gone:
+            lines = [x for x in lines if x not in gone and not x.endswith("wrote:") and x.strip("> ") + "x" * (not x.startswith(">"))]
+        out[c, t] = (best[0][1] if best else None, lines)
     return out
 
 
@@ -290,6 +292,7 @@ def test_quotes_are_linked_and_removed(spark):
         (1, 4, "assistant", "> I see.\n>\n> unknown line\nFine."),
         (1, 5, "user", "> How does it work?\nAgain"),
         (2, 0, "user", "> Hello there.\nOther conversation"),
+        (2, 2, "user", "Anna wrote:\n> from elsewhere\nAnd mine"),
         (2, 1, None, None),
     ]
     shape = "conv_id long, turn long, role string, text string"

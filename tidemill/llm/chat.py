@@ -17,14 +17,14 @@ def parsed(messages: DataFrame, text: str = "text") -> DataFrame:
     level = lambda x: F.length(F.regexp_replace(F.regexp_extract(x, MARKS, 0), "[^>]", ""))
     body = lambda x: F.regexp_replace(x, MARKS + r"[ \t]?", "")
     norm = lambda x: F.trim(F.regexp_replace(F.lower(body(x)), r"\s+", " "))
-    lines = F.transform(rows, lambda x: F.struct(level(x).alias("level"), body(x).alias("body"), F.when(norm(x) != "", F.md5(norm(x))).alias("hash")))
+    lines = F.transform(rows, lambda x: F.struct(level(x).alias("level"), body(x).alias("body"), x.alias("raw"), F.when(norm(x) != "", F.md5(norm(x))).alias("hash")))
     out = messages.withColumn("_read", lines)
     announced = lambda x, i: x["body"].rlike(ATTRIBUTION) & (F.coalesce(F.get("_read", i + 1)["level"], F.lit(0)) > x["level"])
     return out.withColumn("_lines", F.transform("_read", lambda x, i: x.withField("announces", announced(x, i)))).drop("_read")
 
 
 def quote_links(read: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
-    """(conv, turn, reply_to, votes): which earlier message a message quotes.
+    """(conv, turn, reply_to, votes, linked): which earlier message a message quotes, and the hashes of all its quoted lines that were found.
 
     Each quoted line goes to the latest earlier message of the conversation
     that has it as its own line; the shallowest level decides, then the most
@@ -41,7 +41,9 @@ def quote_links(read: DataFrame, conv: str = "conv_id", turn: str = "turn") -> D
     found = met.withColumn("origin", F.max(F.when(F.col("level") == 0, F.col("turn"))).over(before)).where("level > 0 AND origin IS NOT NULL")
     votes = found.groupBy("conv", "turn", "level", "origin").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("conv", "turn").agg(F.max(F.struct(-F.col("level"), "votes", "origin")).alias("b"))
-    return best.select("conv", "turn", F.col("b.origin").alias("reply_to"), F.col("b.votes").alias("votes"))
+    # As many as the message has lines.
+    known = found.groupBy("conv", "turn").agg(F.collect_set("hash").alias("linked"))
+    return best.join(known, ["conv", "turn"]).select("conv", "turn", F.col("b.origin").alias("reply_to"), F.col("b.votes").alias("votes"), "linked")
 
 
 def threads(links: DataFrame) -> DataFrame:
@@ -60,8 +62,10 @@ def threads(links: DataFrame) -> DataFrame:
 def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
     """One row per message, in reply order: conv_id, thread, turn, role, reply_to, depth, quoted_lines, linked_lines, max_level, content, chat.
 
-    `content` is the message without quoted lines and without the lines that
-    announce them, `chat` the same as a chat turn.  A message that quotes
+    `content` is the message without the quoted lines found in an earlier
+    message, blank quoted lines between, and the lines that announce them;
+    quotes from elsewhere stay as they are, with their marks, or their text
+    would be lost.  `chat` is the same as a chat turn.  A message that quotes
     nothing known starts a thread; the order is conversation, thread, turn, so
     replies follow the message they answer.  Conversations stay rows, since
     one of them may hold a third of the table; the sort is by ranges of
@@ -74,12 +78,16 @@ def format_chats(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     """
     cols = messages.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.col(text).alias("text"))
     read = parsed(cols, "text")
-    links = threads(quote_links(read, "conv", "turn"))
-    own = F.filter("_lines", lambda x: (x["level"] == 0) & ~x["announces"])
-    content = F.regexp_replace(F.array_join(F.transform(own, lambda x: x["body"]), "\n"), r"^\s+|\s+$", "")
+    found = quote_links(read, "conv", "turn")
+    links = threads(found.drop("linked")).join(found.select("conv", "turn", "linked"), ["conv", "turn"])
+    known = F.coalesce("linked", F.array().cast("array<string>"))
+    gone = lambda x: F.when(x["level"] > 0, x["hash"].isNull() | F.array_contains("_known", x["hash"])).otherwise(x["announces"])
+    quotes = F.size("_known") > 0
+    own = F.filter("_lines", lambda x: ~F.coalesce(quotes & gone(x), F.lit(False)))
+    content = F.regexp_replace(F.array_join(F.transform(own, lambda x: x["raw"]), "\n"), r"^\s+|\s+$", "")
     quoted = F.size(F.filter("_lines", lambda x: x["level"] > 0))
     deepest = F.coalesce(F.array_max(F.transform("_lines", lambda x: x["level"])), F.lit(0))
-    out = read.join(links, ["conv", "turn"], "left").select(
+    out = read.join(links, ["conv", "turn"], "left").withColumn("_known", known).select(
         F.col("conv").alias("conv_id"),
         F.coalesce("thread", "turn").alias("thread"),
         "turn",
