@@ -12,6 +12,8 @@ from tidemill.plans.scratch import scratch_dir
 
 #: Rows of at most some tens of bytes that may be sent to every executor.
 BROADCAST_ROWS = 1_000_000
+#: Bytes of longer rows, in a table's own form, that may be sent to every executor.
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

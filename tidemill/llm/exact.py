@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemill.llm.common import kept, narrow
+from tidemill.llm.common import BROADCAST_BYTES, kept, narrow
 from tidemill.plans.scratch import scratch_dir
 
 _STORE = "spark.sql.streaming.stateStore"
@@ -93,7 +93,9 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", locator: str
 
     hits = prints.join(state.where("group_size > 1").select("digest", "holder"), "digest")
     hits = kept(hits.select("doc_id", "locator", "digest", (F.col("locator") == F.col("holder.locator")).alias("is_holder")), "hits")
-    bodies = docs.select(F.col(locator).alias("locator"), normalised(text).alias("body")).join(narrow(hits), "locator")
+    width = hits.agg(F.max(F.octet_length("locator") + F.octet_length("digest"))).first()[0] or 0
+    few = narrow(hits, BROADCAST_BYTES // (width + 100))
+    bodies = docs.select(F.col(locator).alias("locator"), normalised(text).alias("body")).join(few, "locator")
     bodies = kept(bodies, "hit-bodies")
     first = bodies.where("is_holder").select("digest", F.col("body").alias("held"))
     odd = kept(bodies.join(first, "digest").where("body <> held").select("doc_id", "locator", "digest", "body"), "collided")
